@@ -1,6 +1,8 @@
 """Registered queries and the SQL each one is checked against."""
 
-from . import bar_queries, tick_queries  # noqa: F401
+from . import (  # noqa: F401
+    bar_queries, document_queries, function_queries, ingest_queries, stat_queries, tick_queries, trade_queries,
+)  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -26,7 +26,7 @@ def _native(name, columns: dict[str, tuple[str, int]]):
     @query(name, with_ctes(*NATIVE, body=f'SELECT symbol, "date", {body} FROM l3'))
     def run(spark, sf):
         rows = ind.native_indicators(views.daily_bars(spark, sf))
-        return rows.select("symbol", "date", *[F.round(src, d).alias(c) for c, (src, d) in columns.items()])
+        return rows.select("symbol", "date", *[F.round(F.expr(src), d).alias(c) for c, (src, d) in columns.items()])
 
     return run
 
@@ -53,7 +53,7 @@ _native("x14_average_true_range", {"atr14": ("atr14", 8)})
 _native("x15_volatility", {"vol20": ("vol20", 8), "volatility5": ("volatility5", 8)})
 _native("x16_volume_change", {"volume_change": ("volume_change", 8)})
 _native("x17_volume_ratio", {"vol_ratio5": ("vol_ratio5", 8), "vol_ratio10": ("vol_ratio10", 8), "vol_ratio20": ("vol_ratio20", 8)})
-_native("x18_on_balance_volume", {"obv": ("obv", 2)})
+_native("x18_on_balance_volume", {"obv": ("CAST(obv AS DOUBLE)", 2)})
 _native("x19_obv_change", {"obv_change": ("obv_change", 8)})
 _native("x20_ma_cross", {"ma_cross": ("ma_cross", 0)})
 
