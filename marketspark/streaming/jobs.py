@@ -12,8 +12,8 @@ from .state import alert_stream
 
 def bars_and_anomalies(ticks: DataFrame, path: str, checkpoint: str, *, once: bool = False,
                        anomaly_window: str = "10 minutes") -> list[StreamingQuery]:
-    """Two queries off one parsed stream: sliding bars to files, volume anomalies
-    to the console; call ``spark.streams.awaitAnyTermination()`` to stay up."""
+    """Two queries off one parsed stream, both to files; a standing job then
+    calls ``spark.streams.awaitAnyTermination()``."""
     bars = to_files(window_bars(ticks, "5 minutes", "1 minute"), f"{path}/bars", f"{checkpoint}/bars", once=once)
     anomalies = to_files(volume_anomalies(ticks, anomaly_window), f"{path}/anomalies", f"{checkpoint}/anomalies", once=once)
     return [bars, anomalies]
