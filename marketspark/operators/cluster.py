@@ -11,6 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
 from ..schemas import CLUSTER8
 from .stats import finite_or_zero
 
@@ -19,9 +20,10 @@ def standardise(profiles: DataFrame, columns: list[str] = CLUSTER8) -> DataFrame
     """Add ``scaled``: features minus mean over population deviation.
 
     Spark's scaler divides by the sample deviation; one constant factor turns
-    that into the population one.
+    that into the population one.  The profiles, one row per symbol, are written
+    once: every fit that follows reads them again.
     """
-    clean = finite_or_zero(profiles, columns)
+    clean = materialize(finite_or_zero(profiles, columns), "profiles")
     raw = VectorAssembler(inputCols=columns, outputCol="raw").transform(clean)
     n = raw.count()
     sample = StandardScaler(inputCol="raw", outputCol="sample_scaled", withMean=True).fit(raw).transform(raw)

@@ -8,7 +8,9 @@ symbol; it runs last, on the partitioning the windows already made.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,33 +105,33 @@ def native_indicators(bars: DataFrame) -> DataFrame:
     )
 
 
-def _smooth(series: pd.Series, **decay: float) -> pd.Series:
-    return series.ewm(adjust=False, **decay).mean()
+def _smooth(values: np.ndarray, **decay: float) -> np.ndarray:
+    return pd.Series(values).ewm(adjust=False, **decay).mean().to_numpy()
 
 
 def with_ewm(df: DataFrame) -> DataFrame:
     """Add the exponentially smoothed columns.
 
-    One grouped map per symbol; a group is bounded by the trading calendar.
+    One grouped map per symbol over Arrow columns; a group is bounded by the
+    trading calendar.  Columns other than date and close pass through untouched.
     """
     schema = T.StructType(df.schema.fields + [T.StructField(c, T.DoubleType()) for c in EWM_COLUMNS])
 
-    def per_symbol(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        close = pdf["close"].astype(float)
-        step = close.diff()
+    def per_symbol(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("date")
+        close = rows["close"].to_numpy()
+        step = np.diff(close, prepend=np.nan)
         fast, slow = _smooth(close, span=12), _smooth(close, span=26)
         macd = (fast - slow) / (close + EPS)
-        return pdf.assign(
-            ema12=fast,
-            ema26=slow,
-            macd=macd,
-            macd_signal=_smooth(macd, span=9),
-            avg_gain=_smooth(step.where(~(step < 0), 0.0), alpha=1 / 14),
-            avg_loss=_smooth((-step).where(~(step > 0), 0.0), alpha=1 / 14),
-        )
-
-    return df.groupBy("symbol").applyInPandas(per_symbol, schema)
+        added = [
+            fast, slow, macd, _smooth(macd, span=9),
+            _smooth(np.maximum(step, 0.0), alpha=1 / 14), _smooth(np.maximum(-step, 0.0), alpha=1 / 14),
+        ]
+        for name, values in zip(EWM_COLUMNS, added):
+            rows = rows.append_column(name, pa.array(values, from_pandas=True))
+        return rows
+
+    return df.groupBy("symbol").applyInArrow(per_symbol, schema)
 
 
 def rsi() -> Column:

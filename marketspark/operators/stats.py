@@ -5,8 +5,6 @@ Inputs are daily bars or feature rows, at most one row per symbol and day.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,8 +152,8 @@ def autocorrelation(rows: DataFrame, lags: int = 10) -> DataFrame:
 def range_52w(bars: DataFrame, window: int = TRADING_DAYS) -> DataFrame:
     """High, low and position of the newest close within the last 252 bars."""
     close = F.col("close")
-    rows = bars.withColumns({"hi": F.max(close).over(last_n(window)), "lo": F.min(close).over(last_n(window))})
-    out = rows.groupBy("symbol").agg(F.max_by(F.struct("close", "hi", "lo"), "date").alias("l")).select("symbol", "l.*")
+    out = newest_rows(bars, window).groupBy("symbol").agg(
+        F.max_by("close", "date").alias("close"), F.max("close").alias("hi"), F.min("close").alias("lo"))
     span = F.col("hi") - F.col("lo")
     return out.select(
         "symbol", "close", F.col("hi").alias("high_52w"), F.col("lo").alias("low_52w"),
@@ -163,10 +161,16 @@ def range_52w(bars: DataFrame, window: int = TRADING_DAYS) -> DataFrame:
     )
 
 
+def at_age(column: str, age: int) -> Column:
+    """Aggregate: the value of the row that many bars before the end (1 = newest)."""
+    return F.max(F.when(F.col("age") == age, F.col(column)))
+
+
 def last_change(bars: DataFrame) -> DataFrame:
     """Change of the newest bar against the one before; 0 without one."""
-    rows = bars.withColumn("prev", F.coalesce(F.lag("close").over(by_symbol()), F.col("close")))
-    out = rows.groupBy("symbol").agg(F.max_by(F.struct("date", "close", "prev"), "date").alias("l")).select("symbol", "l.*")
+    out = newest_rows(bars, 2).groupBy("symbol").agg(
+        at_age("date", 1).alias("date"), at_age("close", 1).alias("close"),
+        F.coalesce(at_age("close", 2), at_age("close", 1)).alias("prev"))
     diff = F.col("close") - F.col("prev")
     return out.select(
         "symbol", "date", "close", diff.alias("change"),
@@ -210,21 +214,22 @@ SCENARIO = {"up": "높음", "down": "낮음", "flat": "중간"}
 
 
 def forecast_band(bars: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Next-day band of every symbol from its newest bars."""
-    close = F.col("close")
-    rows = bars.withColumn("ret", change(close)).withColumns(
-        {
-            "prev": F.coalesce(F.lag(close).over(by_symbol()), close),
-            "hi": F.max(close).over(last_n(TRADING_DAYS)),
-            "lo": F.min(close).over(last_n(TRADING_DAYS)),
-            "vol": F.stddev_samp("ret").over(last_n(20)),
-            "n_ret": F.count("ret").over(so_far()),
-            "ma5": F.avg(close).over(last_n(5)),
-            "ma20": F.avg(close).over(last_n(20)),
-        }
+    """Next-day band of every symbol from its newest bars.
+
+    Only the newest 253 bars matter.  The ranking that picks them is cut off
+    before the shuffle, and the band needs no sliding frame after it.
+    """
+    close, age = F.col("close"), F.col("age")
+    before = F.lead("close").over(Window.partitionBy("symbol").orderBy("age"))
+    recent = newest_rows(bars.select("symbol", "date", "close", "volume"), TRADING_DAYS + 1)
+    recent = recent.withColumn("ret", F.try_divide(close, before) - 1)
+    last = recent.groupBy("symbol").agg(
+        at_age("date", 1).alias("date"), at_age("close", 1).alias("close"), at_age("volume", 1).alias("volume"),
+        F.coalesce(at_age("close", 2), at_age("close", 1)).alias("prev"),
+        F.max(F.when(age <= TRADING_DAYS, close)).alias("hi"), F.min(F.when(age <= TRADING_DAYS, close)).alias("lo"),
+        F.stddev_samp(F.when(age <= 20, F.col("ret"))).alias("vol"), F.count("ret").alias("n_ret"),
+        F.avg(F.when(age <= 5, close)).alias("ma5"), F.avg(F.when(age <= 20, close)).alias("ma20"),
     )
-    cells = F.struct("date", "close", "volume", "prev", "hi", "lo", "vol", "n_ret", "ma5", "ma20")
-    last = rows.groupBy("symbol").agg(F.max_by(cells, "date").alias("l")).select("symbol", "l.*")
     trend = F.coalesce(F.try_divide(F.col("ma5") - F.col("ma20"), F.col("ma20")), F.lit(0.0))
     out = (
         last.withColumn("recent_vol", F.when(F.col("n_ret") > 1, F.col("vol")).otherwise(0.01))
@@ -296,7 +301,3 @@ def crawl_summary(bars: DataFrame, listing: DataFrame, sample: int = 10) -> Data
     """Row count, newest bar, listing entry and market sample of every symbol."""
     facts = latest_bar(bars).join(listing, "symbol", "left").withColumn("name", F.coalesce("name", F.lit("")))
     return facts.join(market_sample(listing, sample), "market", "left")
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

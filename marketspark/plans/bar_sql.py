@@ -66,8 +66,8 @@ ewm1 AS (SELECT b.symbol, b.pos, b."close",
   FROM deltas b JOIN deltas p ON b.symbol = p.symbol AND p.pos <= b.pos GROUP BY 1, 2, 3),
 ewm2 AS (SELECT *, (ema12 - ema26) / ("close" + 1e-9) AS macd,
     CASE WHEN pos > 1 THEN 100 - 100 / (1 + avg_gain / (avg_loss + 1e-9)) END AS rsi FROM ewm1)"""
-EWM2 = f"""ewm3 AS (SELECT b.symbol, b.pos, b.ema12, b.ema26, b.macd, b.rsi, {_ewm('macd', '(2.0 / 10)', 1)} AS macd_signal
-  FROM ewm2 b JOIN ewm2 p ON b.symbol = p.symbol AND p.pos <= b.pos GROUP BY 1, 2, 3, 4, 5, 6),
+EWM2 = f"""ewm3 AS (SELECT b.symbol, b.pos, b.ema12, b.ema26, b.macd, b.rsi, b.avg_gain, b.avg_loss, {_ewm('macd', '(2.0 / 10)', 1)} AS macd_signal
+  FROM ewm2 b JOIN ewm2 p ON b.symbol = p.symbol AND p.pos <= b.pos GROUP BY 1, 2, 3, 4, 5, 6, 7, 8),
 l4 AS (SELECT l3.*, e.ema12, e.ema26, e.macd, e.macd_signal, e.rsi
   FROM l3 JOIN ewm3 e ON l3.symbol = e.symbol AND l3.pos = e.pos)"""
 RECURSIVE = (*NATIVE, EWM1, EWM2)

@@ -242,3 +242,13 @@ def p7(spark, sf):
     codes = views.table(spark, sf, "customer").select(
         F.when(F.col("c_custkey") % 5 == 0, key).otherwise(F.lpad(key, 6, "0")).alias("ticker"))
     return ingest.six_digit(codes)
+
+
+@query("y4_rows_from_pages", with_ctes(BARS, SYMBOLS, LISTING, _PRICES, _SNAP, _RANK, body="""
+SELECT 'json listing' AS feed, count(*) AS n FROM snap UNION ALL SELECT 'html listing', count(*) FROM ranking
+UNION ALL SELECT 'html prices', count(*) FROM prices"""))
+def y4(spark, sf):
+    """Row-to-many parsing stays in the JVM for every feed."""
+    feeds = {"json listing": s6(spark, sf), "html listing": s7(spark, sf), "html prices": s8(spark, sf)}
+    parts = [df.agg(F.count("*").alias("n")).withColumn("feed", F.lit(name)) for name, df in feeds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -23,6 +23,7 @@ from ..runtime import materialize, shared_dir
 from ..schemas import CLUSTER8, DL20, SEQ4
 from ..sources import views
 from . import model_reports as rep
+from .bar_queries import TRAINING
 from .bar_sql import DASH_ROWS, NATIVE, W
 from .registry import BARS, SYMBOLS, query, with_ctes
 from .stat_queries import _PROFILE, dash, profile
@@ -227,12 +228,11 @@ SELECT symbol, round(coalesce((b - a) / greatest(a, b), 0), 6) + 0 AS silhouette
 def m4(spark, sf):
     region = views.table(spark, sf, "region").select(F.col("r_name").alias("cluster"), F.col("r_regionkey").alias("id"))
     points = assigned(spark, sf).join(region, "cluster").drop("cluster").withColumnRenamed("id", "cluster")
-    scaled = materialize(cl.standardise(points), "points")
-    return cl.silhouette_parts(scaled, block_rows=40).select("symbol", F.round("silhouette", 6).alias("silhouette"))
+    return cl.silhouette_parts(cl.standardise(points), block_rows=40).select("symbol", F.round("silhouette", 6).alias("silhouette"))
 
 
 def scaled_profiles(spark, sf):
-    return materialize(cl.standardise(profile(spark, sf)), "profiles")
+    return cl.standardise(profile(spark, sf))
 
 
 @query("m2_kmeans")
@@ -302,7 +302,9 @@ def m11(spark, sf):
     return ml.score_latest(model, views.daily_bars(spark, sf), s)
 
 
-@query("m12_save_and_load")
+@query("m12_save_and_load", with_ctes(*TRAINING, body="""
+SELECT count(*) AS n, count(*) AS equal, 5 AS forward_days FROM training
+WHERE rn > floor(CAST(n_rows AS DOUBLE) * CAST(0.8 AS DOUBLE))"""))
 def m12(spark, sf):
     s, rows = _direction(spark, sf, trees=5, max_depth=5)
     model, predictions = ml.holdout(rows, s)

@@ -41,8 +41,7 @@ BARS = """bars AS (
          arg_min(l_extendedprice, ord) AS open, max(l_extendedprice) AS high,
          min(l_extendedprice) AS low, arg_max(l_extendedprice, ord) AS "close",
          CAST(sum(l_quantity) AS BIGINT) AS volume, count(*) AS n
-  FROM (SELECT *, {'a': l_orderkey, 'b': l_linenumber, 'c': l_partkey, 'd': l_quantity,
-                   'e': l_extendedprice} AS ord FROM lineitem)
+  FROM (SELECT *, {'a': l_orderkey, 'b': l_linenumber, 'c': l_partkey, 'd': l_extendedprice} AS ord FROM lineitem)
   GROUP BY 1, 2)"""
 
 SYMBOLS = """symbols AS (

@@ -27,13 +27,14 @@ def checked(messages: DataFrame, schema: T.StructType, optional: tuple[str, ...]
     value = F.col("value").cast("string")
     names = [f.name for f in schema.fields]
     required = F.array(*[F.lit(n) for n in names if n not in optional])
-    keys = F.json_object_keys(value)
+    known = F.array(*[F.lit(n) for n in names])
     error = (
-        F.when(F.try_parse_json(value).isNull() | keys.isNull(), "malformed")
-        .when(F.size(F.array_except(required, keys)) > 0, "missing field")
-        .when(F.size(F.array_except(keys, F.array(*[F.lit(n) for n in names]))) > 0, "unknown field")
+        F.when(F.col("_keys").isNull(), "malformed")
+        .when(F.size(F.array_except(required, "_keys")) > 0, "missing field")
+        .when(F.size(F.array_except("_keys", known)) > 0, "unknown field")
     )
-    return messages.withColumn("error", error).withColumn("data", F.from_json(value, schema))
+    rows = messages.withColumn("_keys", F.json_object_keys(value)).withColumn("error", error).drop("_keys")
+    return rows.withColumn("data", F.when(F.col("error").isNull(), F.from_json(value, schema)))
 
 
 def split_good_bad(

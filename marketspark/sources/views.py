@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ordering import packed
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,12 +44,10 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows over a symbol sees at most one row per calendar day.
     """
     items = table(spark, sf_dir, "lineitem")
-    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     price = F.col("l_extendedprice")
-    return items.groupBy(
-        F.col("l_suppkey").cast("string").alias("symbol"),
-        F.col("l_shipdate").cast("date").alias("date"),
-    ).agg(
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    order = packed(line, F.col("l_partkey") * 1_000_000_000 + F.round(price * 100).cast("bigint"), 19)
+    grouped = items.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date")).agg(
         F.min_by(price, order).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
@@ -55,6 +55,7 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_quantity").cast("bigint").alias("volume"),
         F.count("*").alias("n"),
     )
+    return grouped.select(F.col("l_suppkey").cast("string").alias("symbol"), "date", "open", "high", "low", "close", "volume", "n")
 
 
 def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
