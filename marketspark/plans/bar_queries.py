@@ -84,8 +84,8 @@ _ewm("x5_exponential_averages", {"ema12": ("ema12", 4), "ema26": ("ema26", 4)},
 _ewm("x6_macd", {"macd": ("macd", 8)}, lambda: {"macd": F.col("macd")})
 _ewm("x7_macd_signal", {"macd_signal": ("macd_signal", 8), "macd_hist": ("macd - macd_signal", 8)},
      lambda: {"macd_signal": F.col("macd_signal"), "macd_hist": F.col("macd") - F.col("macd_signal")})
-_ewm("y1_smoothing_kernel", {"avg_gain": ("avg_gain", 6), "avg_loss": ("avg_loss", 6), "ema12": ("ema12", 4), "macd": ("macd", 8)},
-     lambda: {c: F.col(c) for c in ("avg_gain", "avg_loss", "ema12", "macd")})
+_ewm("y1_smoothing_kernel", {"gain_share": ('avg_gain / "close"', 8), "loss_share": ('avg_loss / "close"', 8), "macd": ("macd", 8)},
+     lambda: {"gain_share": F.col("avg_gain") / F.col("close"), "loss_share": F.col("avg_loss") / F.col("close"), "macd": F.col("macd")})
 _ewm("x8_rsi", {"rsi": ("rsi", 7)}, lambda: {"rsi": ind.rsi()})
 
 

@@ -168,9 +168,9 @@ def t8(spark, sf):
 
 # Clusters given by the market of a symbol, for the parts that have a twin.
 _ASSIGNED = (SYMBOLS, *_PROFILE, """assigned AS (SELECT p.*, market AS cluster FROM profile8 p JOIN symbols USING (symbol)),
-summary AS (SELECT cluster, round(avg(ann_return), 4) + 0 AS ann_return, round(avg(ann_vol), 4) + 0 AS ann_vol, round(avg(sharpe), 4) + 0 AS sharpe,
-  round(avg(max_dd), 4) + 0 AS max_dd, round(avg(rsi_mean), 4) + 0 AS rsi_mean, round(avg(momentum_20), 4) + 0 AS momentum_20,
-  round(avg(vol_ratio), 4) + 0 AS vol_ratio, round(avg(skewness), 4) + 0 AS skewness FROM assigned GROUP BY cluster),
+summary AS (SELECT cluster, round(avg(ann_return), 6) + 0 AS ann_return, round(avg(ann_vol), 6) + 0 AS ann_vol, round(avg(sharpe), 6) + 0 AS sharpe,
+  round(avg(max_dd), 6) + 0 AS max_dd, round(avg(rsi_mean), 6) + 0 AS rsi_mean, round(avg(momentum_20), 6) + 0 AS momentum_20,
+  round(avg(vol_ratio), 6) + 0 AS vol_ratio, round(avg(skewness), 6) + 0 AS skewness FROM assigned GROUP BY cluster),
 titles AS (SELECT cluster, CASE WHEN ann_return > 0.15 AND ann_vol < 0.25 THEN '성장형 안정주 📈'
   WHEN ann_return > 0.10 AND momentum_20 > 0.05 THEN '모멘텀 강세주 🚀' WHEN ann_return < -0.05 AND max_dd < -0.20 THEN '하락 위험주 ⚠️'
   WHEN ann_vol > 0.35 THEN '고변동성 투기주 🎲' WHEN abs(ann_return) < 0.05 AND ann_vol < 0.20 THEN '저변동 방어주 🛡️'
@@ -184,18 +184,18 @@ def assigned(spark, sf):
 
 @query("a13_cluster_summary", with_ctes(*_ASSIGNED, body="SELECT * FROM summary"))
 def a13(spark, sf):
-    return cl.summary(assigned(spark, sf))
+    return cl.summary(assigned(spark, sf), 6)
 
 
 @query("f20_cluster_names", with_ctes(*_ASSIGNED, body="SELECT * FROM titles"))
 def f20(spark, sf):
-    return cl.named(cl.summary(assigned(spark, sf))).select("cluster", "cluster_name")
+    return cl.named(cl.summary(assigned(spark, sf), 6)).select("cluster", "cluster_name")
 
 
 @query("j3_cluster_name_join", with_ctes(*_ASSIGNED, body="SELECT symbol, cluster, cluster_name FROM assigned JOIN titles USING (cluster)"))
 def j3(spark, sf):
     rows = assigned(spark, sf)
-    return cl.with_cluster_names(rows, cl.summary(rows)).select("symbol", "cluster", "cluster_name")
+    return cl.with_cluster_names(rows, cl.summary(rows, 6)).select("symbol", "cluster", "cluster_name")
 
 
 @query("a28_distinct_clusters", with_ctes(SYMBOLS, BARS, body="""

@@ -298,10 +298,10 @@ SELECT t.symbol, count(*) AS n, round(avg(ret), 8) + 0 AS mean_ret, round(stddev
        round(2 / sqrt(count(*)), 8) AS band,
        round(coalesce(avg(CASE WHEN isodow("date") = 1 THEN ret END), 0), 8) + 0 AS monday_ret,
        round(coalesce(avg(CASE WHEN month("date") = 1 THEN ret END), 0), 8) + 0 AS january_ret,
-       round(sum(CASE WHEN age <= 120 THEN ma20 END), 2) AS tail_ma20_sum
+       round(sum(CASE WHEN age <= 120 THEN ma20 END), 4) AS tail_ma20_sum
 FROM tail t JOIN acf a ON t.symbol = a.symbol GROUP BY t.symbol"""))
 def m22(spark, sf):
-    from ..plans.reports import timeseries_report
+    from .reports import timeseries_report
 
     rows = timeseries_report(dash(spark, sf))
     tail = F.aggregate("tail", F.lit(0.0), lambda acc, x: acc + x["ma20"])
@@ -309,7 +309,7 @@ def m22(spark, sf):
         "symbol", "n", *[F.round(c, 8).alias(c) for c in ("mean_ret", "ann_vol", "up_ratio")],
         F.round(F.col("acf")[0], 8).alias("acf1"), F.round("band", 8).alias("band"),
         F.round(F.col("weekday")[0], 8).alias("monday_ret"), F.round(F.col("month")[0], 8).alias("january_ret"),
-        F.round(tail, 2).alias("tail_ma20_sum"))
+        F.round(tail, 4).alias("tail_ma20_sum"))
 
 
 _CURVE = f"""signals AS (SELECT symbol, "date", ret, stoch_k / 100 AS p FROM l3 WHERE ret IS NOT NULL AND stoch_k IS NOT NULL),
