@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,22 +19,25 @@ def decode(messages: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
 
 
 def checked(messages: DataFrame, schema: T.StructType, optional: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """Decode and say per message what is wrong with it.
+    """Say per message what is wrong with it, null when nothing is.
 
     As strict as a fixed record type: every field but the optional ones must be
-    there and no other may be.
+    there and no other may be.  The keys are bound in a lambda, so that a message
+    is read once for all three tests, also where the filter is pushed down.
     """
-    value = F.col("value").cast("string")
     names = [f.name for f in schema.fields]
-    required = F.array(*[F.lit(n) for n in names if n not in optional])
     known = F.array(*[F.lit(n) for n in names])
-    error = (
-        F.when(F.col("_keys").isNull(), "malformed")
-        .when(F.size(F.array_except(required, "_keys")) > 0, "missing field")
-        .when(F.size(F.array_except("_keys", known)) > 0, "unknown field")
-    )
-    rows = messages.withColumn("_keys", F.json_object_keys(value)).withColumn("error", error).drop("_keys")
-    return rows.withColumn("data", F.when(F.col("error").isNull(), F.from_json(value, schema)))
+    required = F.array(*[F.lit(n) for n in names if n not in optional])
+
+    def verdict(keys: Column) -> Column:
+        return (
+            F.when(keys.isNull(), "malformed")
+            .when(F.size(F.array_except(required, keys)) > 0, "missing field")
+            .when(F.size(F.array_except(keys, known)) > 0, "unknown field")
+        )
+
+    keys = F.json_object_keys(F.col("value").cast("string"))
+    return messages.withColumn("error", F.get(F.transform(F.array(keys), verdict), F.lit(0)))
 
 
 def split_good_bad(
@@ -42,9 +45,9 @@ def split_good_bad(
 ) -> tuple[DataFrame, DataFrame]:
     """Decoded rows with provenance, and the dead letters."""
     rows = checked(messages, schema, optional)
-    good = rows.filter("error is null").select(
-        "data.*", F.col("partition").alias("_kafka_partition"), F.col("offset").alias("_kafka_offset"),
-        F.current_timestamp().alias("_consumed_at"),
+    good = decode(rows.filter("error is null"), schema, "partition", "offset").select(
+        *[f.name for f in schema.fields], F.col("partition").alias("_kafka_partition"),
+        F.col("offset").alias("_kafka_offset"), F.current_timestamp().alias("_consumed_at"),
     )
     bad = rows.filter("error is not null").select("key", "value", "partition", "offset", "error")
     return good, bad
