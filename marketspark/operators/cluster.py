@@ -64,22 +64,25 @@ def silhouette_parts(points: DataFrame, block_rows: int = 2000) -> DataFrame:
     base = points.select("symbol", "cluster", vector_to_array("scaled").alias("v")).withColumn(
         "block", F.pmod(F.xxhash64("symbol"), F.lit(blocks)).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = base.withColumn("i", F.col("block")).withColumn("j", others)
-    right = base.withColumn("j", F.col("block")).withColumn("i", others)
+    left = base.select("symbol", "cluster", "v", F.col("block").alias("i"), others.alias("j"))
+    # Names of its own for the other side: both come from one table, and shared
+    # columns get lost when a caller needs only part of the result.
+    right = base.select(
+        F.col("cluster").alias("other_cluster"), F.col("v").alias("other_v"), F.col("block").alias("other_j"), others.alias("other_i"))
 
     def block_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"symbol": [], "own": [], "other": [], "total": [], "size": []})
         if a.empty or b.empty:
             return empty
-        x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
+        x, y = np.stack(a["v"].to_numpy()), np.stack(b["other_v"].to_numpy())
         gap = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * x @ y.T, 0.0))
         out = []
-        for cluster, at in b.groupby("cluster").indices.items():
+        for cluster, at in b.groupby("other_cluster").indices.items():
             out.append(pd.DataFrame({"symbol": a["symbol"], "own": a["cluster"], "other": cluster,
                                      "total": gap[:, at].sum(axis=1), "size": len(at)}))
         return pd.concat(out, ignore_index=True)
 
-    sums = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(
+    sums = left.groupBy("i", "j").cogroup(right.groupBy("other_i", "other_j")).applyInPandas(
         block_sums, "symbol string, own int, other int, total double, size long")
     per_cluster = sums.groupBy("symbol", "own", "other").agg(F.sum("total").alias("total"), F.sum("size").alias("size"))
     own = F.col("own") == F.col("other")

@@ -234,7 +234,9 @@ def test_silhouette_against_loop(spark, block_rows):
     points, labels = rng.normal(size=(20, 3)), [i % 3 for i in range(19)] + [7]
     df = spark.createDataFrame([(str(i), c, Vectors.dense(p)) for i, (p, c) in enumerate(zip(points, labels))], ["symbol", "cluster", "scaled"])
     df = df.withColumn("cluster", F.col("cluster").cast("int"))
-    got = {r["symbol"]: r["silhouette"] for r in cl.silhouette_parts(df, block_rows).collect()}
+    parts = cl.silhouette_parts(df, block_rows)
+    assert parts.count() == 20
+    got = {r["symbol"]: r["silhouette"] for r in parts.collect()}
     gap = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
     for i in range(20):
         same = [j for j in range(20) if labels[j] == labels[i] and j != i]
