@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, outliers
+from . import chat, kdtree, mixing, outliers, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +33,35 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_source_mix")
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents"))
+
+
+@register("op4_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@register("op6_chat_format")
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(chat.render(chat.turn_events(turns)))
+
+
+@register("op7_exact_top_k")
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = kdtree.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return kdtree.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op7_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([c FOR c IN embedding IF c IS NOT NULL AND isfinite(c)]) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s)
+SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5"""
