@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, kdtree, mixing, outliers, packing
+from . import bloom_lm, chat, kdtree, langid, mixing, outliers, packing, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,18 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s)
 SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5"""
+
+
+@register("op9_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = text.crc_remainder(F.col("doc_id"), 3) == 1
+    langs, model = langid.train(docs.where(~out))
+    # Predictions read the text alone.
+    rows = docs.select("doc_id", out.alias("held_out"), F.col("text").alias("body"))
+    return langid.predict(rows, F.col("body"), langs, model).drop("body")
+
+
+@register("op10_bloom_lm")
+def bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(_table(spark, sf_dir, "documents"), text.crc_remainder(F.col("doc_id"), 10) == 0)
