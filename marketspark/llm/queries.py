@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, chat, kdtree, langid, mixing, outliers, packing, text
+from . import bloom_lm, chat, factor_machine, kdtree, langid, mixing, outliers, packing, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,12 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_bloom_lm")
 def bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_documents(_table(spark, sf_dir, "documents"), text.crc_remainder(F.col("doc_id"), 10) == 0)
+
+
+@register("op2_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    out = text.crc_remainder(F.col("doc_id"), 4) == 2
+    labels = _table(spark, sf_dir, "labels").where(~out).select("doc_id", F.col("quality").alias("label"))
+    machine = factor_machine.train(docs, labels)
+    return factor_machine.score(docs, machine, "doc_id", out.alias("held_out"))
