@@ -9,6 +9,7 @@ one batch, so a lost task is simply read and packed again with the same result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,7 @@ OPEN_BINS = 256
 END_ID = 0
 
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile("[^\\S \\n]|\u180e")
-_TAIL = re.compile(r"(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,]+)", re.S)
+_OTHER_SPACE = re.compile("[^\\S \\n]|\\u180e")
 _LOADED: dict[str, "Encoder"] = {}
 
 
@@ -36,7 +36,7 @@ class Encoder(dict):
     The memory is two generations of at most ``limit`` chunks.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -45,26 +45,38 @@ class Encoder(dict):
         self.limit, self.older = limit, {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    @staticmethod
+    def parts(chunk: str) -> tuple[str, str]:
+        """A chunk without the full stops and commas after its last letter, and these."""
+        base = chunk.rstrip(".,")
+        return (base, chunk[len(base) :]) if base and base[-1].isalpha() and base[-1] < "\u0250" else (chunk, "")
+
+    def keep(self, chunk: str, found: bytes) -> None:
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[chunk] = found
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
         if found is None:
-            tail = _TAIL.fullmatch(chunk)
-            found = self[tail[1]] + self[tail[2]] if tail else self.whole(chunk)
+            if _OTHER_SPACE.search(chunk):
+                raise KeyError(chunk)
+            base, tail = self.parts(chunk)
+            found = self[base] + self[tail] if tail else self.whole(chunk)
         if len(chunk) <= 64:
-            if len(self) >= self.limit:
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = found
+            self.keep(chunk, found)
         return found
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _OTHER_SPACE.search(text):
+        try:
+            return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
+        except KeyError:  # a chunk with another space, which is never remembered
             return self.whole(text)
-        return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
 
 def encoder(path: str | None = None) -> Encoder:
