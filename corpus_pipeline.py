@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import outliers
+from marketspark.llm import line_dedup, mixing, outliers, packing, partenum
 from marketspark.runtime import materialize
 
 
@@ -19,8 +19,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return outliers.keep_good(docs)
 
 
+def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand, equal or within two edits, in an earlier place."""
+    return line_dedup.drop_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 80 % of its five-word shingles."""
+    return partenum.drop_near_duplicates(docs, words=5, percent=80)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.repeat_by_mix(docs)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their token ids and their places in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_deduplication),
+    ("ngram_jaccard_join", near_duplicates),
+    ("source_mix", source_mix),
+    ("best_fit_packing", sequence_packing),
 ]
 
 #: Packing needs a tokenizer, which SQL cannot express.

@@ -134,10 +134,10 @@ def mix_sources(
     df: DataFrame, sources: Column, size: Column, doc_id: Column, weights: Mapping | None = None,
     repeats: int = REPEATS, seed: int = 17, max_patterns: int = 100_000,
 ) -> DataFrame:
-    """``df`` plus ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_taken``.
+    """``df`` plus ``mix_size``, ``mix_source_size``, ``mix_target``, ``mix_copies`` and ``mix_taken``.
 
     ``sources``: array of the sources a row belongs to (null names allowed).
-    ``mix_taken`` is a multiple of the row's size, at most ``repeats`` times it.
+    ``mix_taken`` is ``mix_copies`` times the row's size, at most ``repeats`` times it.
     ``mix_source_size`` and ``mix_target`` are arrays in the order of ``sources``.
     Rows of no source take no part (taken 0).  Raises when there are more than
     ``max_patterns`` patterns.  Repeated rows count each by itself; equal ids of one pattern share their fate
@@ -179,9 +179,10 @@ def mix_sources(
     taken = _take(rows, plan_df, seed).drop("__passes")
     # Both tables have a row for each pattern, at most max_patterns.
     taken = taken.join(F.broadcast(plan_df.select("__pattern", "__passes")), "__pattern", "left").join(F.broadcast(meta_df), "__pattern", "left")
+    copies = F.coalesce("__passes", F.lit(0)) + F.col("__more")
     return taken.select(
         "__row.*", F.col("__size").alias("mix_size"), F.col("__sizes").alias("mix_source_size"), F.col("__targets").alias("mix_target"),
-        (F.col("__size") * (F.coalesce("__passes", F.lit(0)) + F.col("__more"))).alias("mix_taken"),
+        copies.cast("int").alias("mix_copies"), (F.col("__size") * copies).alias("mix_taken"),
     )
 
 
@@ -195,5 +196,16 @@ def mix_documents(documents: DataFrame, seed: int = 17) -> DataFrame:
     mixed = mix_sources(docs, F.array("source"), F.col("size"), F.col("doc_id"), seed=seed)
     return mixed.select(
         "doc_id", "size", F.element_at("mix_source_size", 1).alias("source_size"), F.element_at("mix_target", 1).alias("target"),
-        F.col("mix_taken").alias("taken"), "source",
+        F.col("mix_taken").alias("taken"), "source", F.col("mix_copies").alias("copies"),
     )
+
+
+def repeat_by_mix(documents: DataFrame, seed: int = 17) -> DataFrame:
+    """``documents`` with every row as often as the mix takes it.
+
+    Rows that share an id (null too) share the largest number of copies that one of them gets.
+    """
+    mixed = mix_documents(documents, seed).groupBy("doc_id").agg(F.max("copies").alias("__copies")).where("__copies > 0")
+    mixed = mixed.withColumnRenamed("doc_id", "__id")
+    rows = documents.join(mixed, documents["doc_id"].eqNullSafe(F.col("__id")))
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*documents.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, chat, factor_machine, kdtree, langid, mixing, outliers, packing, text
+from . import bloom_lm, chat, factor_machine, kdtree, langid, line_dedup, mixing, outliers, packing, partenum, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,29 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").where(~out).select("doc_id", F.col("quality").alias("label"))
     machine = factor_machine.train(docs, labels)
     return factor_machine.score(docs, machine, "doc_id", out.alias("held_out"))
+
+
+@register("op1_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@register("op3_line_dedup")
+def line_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_verdicts(_table(spark, sf_dir, "documents")).drop("h")
+
+
+ORACLES["op3_line_dedup"] = """
+WITH o AS (
+  SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, trim(lines[i], ' ') AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+        FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
+  WHERE length(trim(lines[i], ' ')) >= 20),
+u AS (SELECT line, length(line) AS n, min({'d': doc_id, 'n': line_no}) AS f FROM o GROUP BY line),
+x AS (
+  SELECT a.f, min({'p': b.f, 'e': levenshtein(a.line, b.line)}) AS m
+  FROM u a JOIN u b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND b.f < a.f AND levenshtein(a.line, b.line) <= 2 GROUP BY a.f),
+r AS (SELECT u.line, coalesce(m.p, u.f) AS p, coalesce(m.e, 0) AS e FROM u LEFT JOIN x ON x.f = u.f)
+SELECT o.doc_id, o.line_no, o.doc_id = r.p.d AND o.line_no = r.p.n AS kept, r.p.d AS first_doc, r.p.n AS first_line,
+  CAST(r.e AS INTEGER) AS distance
+FROM o JOIN r ON o.line = r.line"""
