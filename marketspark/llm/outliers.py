@@ -80,11 +80,11 @@ def statistics(df: DataFrame, text: Column) -> DataFrame:
 
 
 def _grid(top: Column, below: Column) -> Column:
-    return F.floor(F.sqrt(top.cast("double") / below.cast("double")) * GRID + 0.5).cast("long")
+    return F.floor(F.sqrt(F.try_divide(top.cast("double"), below.cast("double"))) * GRID + 0.5).cast("long")
 
 
 def vector() -> dict[str, Column]:
-    """The statistic vector on the grid; needs at least one word."""
+    """The statistic vector on the grid; null without a word."""
     n, chars = F.col("n_words"), F.col("word_chars")
     return {
         "x_len": _grid(chars, n), "x_symbols": _grid(F.col("n_symbols"), n), "x_dup": _grid(F.col("n_dup_lines"), n),
