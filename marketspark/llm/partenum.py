@@ -7,11 +7,15 @@ sets within k differ by at most one shingle in some part, so they agree on two o
 its three sub-parts, and all two-of-three subsets are enumerated as signatures.
 Sets that share a signature are compared exactly, so no link is lost and none is wrong.
 
+Shingles of very many texts (a common line or passage) are left out of the parts: the
+difference of what is left is no larger, so nothing is lost, and no signature is
+made of them alone.  Any choice of them is right; it is made from counts per task.
+
 A signature over very few shingles would be shared by chance, so there are
 ``SLACK`` percent more parts than needed.  A set of which no more than these extra parts are
 thin leaves out its thin signatures: a similar partner still shares a thick one with
-it.  A set with too many parts that hold nothing also sends its first shingles in hash order, of
-which two similar sets always share one; empty signatures are never sent.
+it.  A set with too many parts that hold nothing also sends its first shingles in an order
+from rare to frequent, of which two similar sets always share one; empty signatures are never sent.
 """
 
 from __future__ import annotations
@@ -29,7 +33,11 @@ from .components import components
 from .text import mix, signed, slices
 
 #: Extra parts in percent, and the shingles below which a signature is thin.
-SLACK, THIN = 15, 2
+SLACK, THIN = 15, (3, 2, 1)
+#: A task reports shingles of so many texts among a few million shingles; those of at least
+#: FREQUENT_FROM reported texts, FREQUENT at most, are left out.  16 bytes each.
+LOCAL_FROM, FREQUENT_FROM, FREQUENT = 6, 40, 1 << 17
+_COUNTED = 4_000_000
 _TURNS = np.array([0x8CB92BA72F3D8DD7, 0xABD1F5D7C3A96D2B, 0xE7037ED1A0B428DB, 0xC6A4A7935BD1E995, 0x9FB21C651E98DF25,
                    0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 _REMEMBERED = 200_000
@@ -75,9 +83,18 @@ class Bands:
         return int((1 - t) / (1 + t) * 2 * self.top(band))
 
 
-def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """Signatures of one set in its own band and, as the smaller partner, in the next."""
+def signatures(shingles: np.ndarray, bands: Bands, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Signatures of one set in its own band and, as the smaller partner, in the next.
+
+    ``frequent``: sorted shingles to leave out, ``rank``: their places from rare to frequent.
+    """
     own, out = bands.of(len(shingles)), []
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
+        often = frequent[at] == shingles
+        rare, common = shingles[~often], shingles[often][np.argsort(rank[at[often]])]
+    else:
+        rare, common = shingles, shingles[:0]
     bands.of(bands.top(own) + 1)
     for band in (own, own + 1):
         k = bands.difference(band)
@@ -87,7 +104,8 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         slack = need * SLACK // 100
         n1 = need + slack
         with np.errstate(over="ignore"):
-            spread = mix(shingles + _TURNS[1] * np.uint64(band + 1))
+            turn = _TURNS[1:2] * np.uint64(band + 1)
+            spread = mix(rare + turn)
             place = (spread % np.uint64(3 * n1)).astype(np.int64)
             sums = np.zeros(3 * n1, np.uint64)
             np.add.at(sums, place, mix(spread ^ _TURNS[2]))
@@ -97,13 +115,14 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
             which = np.arange(3 * n1, dtype=np.uint64).reshape(n1, 3) + np.uint64(band << 32)
             sig = mix(mix(left * _TURNS[3] + which) + right * _TURNS[4])
         held = count[:, [0, 0, 1]] + count[:, [1, 2, 2]]
-        for least in (THIN, 1):
+        for least in THIN:
             if (held < least).any(1).sum() <= slack:
                 out.append(sig[held >= least])
                 break
         else:
             n = len(shingles)
-            prefix = np.sort(spread)[: n - int(-(-bands.threshold * n // 1)) + 1]
+            rising = np.concatenate([np.sort(spread), mix(common + turn)])
+            prefix = rising[: n - int(-(-bands.threshold * n // 1)) + 1]
             out += [sig[held >= 1], mix(prefix ^ _TURNS[0])]
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -117,19 +136,38 @@ def _keys(shingles: np.ndarray) -> tuple[int, int]:
 
 def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [np.zeros(0, np.uint64)], 0
+
+        def rows(ids: pa.Array, n: list | np.ndarray, k1, k2) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in (n, k1, k2))], names=["doc_id", "n_shingles", "k1", "k2"])
+
+        def often() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            h, n = h[n >= LOCAL_FROM], n[n >= LOCAL_FROM]
+            held[1:] = []
+            return rows(pa.nulls(len(h), kind), -n, h.view(np.int64), np.zeros(len(h), np.int64))
+
+        kind = pa.int64()
         for batch in batches:
-            found = [(row, len(s), *_keys(s)) for part in slices(batch.column("text")) for row, s in shingle_sets(part, words)]
-            rows, n, k1, k2 = zip(*found) if found else ((),) * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in (n, k1, k2))],
-                names=["doc_id", "n_shingles", "k1", "k2"])
+            found, kind = [], batch.schema.field("doc_id").type
+            for part in slices(batch.column("text")):
+                for row, s in shingle_sets(part, words):
+                    found.append((row, len(s), *_keys(s)))
+                    held.append(s)
+                    size += len(s)
+            at, *columns = zip(*found) if found else ((),) * 4
+            yield rows(batch.column("doc_id").take(pa.array(at, pa.int64())), *columns)
+            if size > _COUNTED:
+                yield often()
+                size = 0
+        yield often()
 
     return run
 
 
-def _signature_rows(words: int, threshold: Fraction):
+def _signature_rows(words: int, threshold: Fraction, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(threshold), set()
+        bands, seen, (often, rank) = Bands(threshold), set(), frequent.value
         for batch in batches:
             for part in slices(batch.column("text")):
                 sigs, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -142,7 +180,7 @@ def _signature_rows(words: int, threshold: Fraction):
                     if len(seen) >= _REMEMBERED:
                         seen.clear()
                     seen.add(key)
-                    sigs.append(signatures(s, bands))
+                    sigs.append(signatures(s, bands, often, rank))
                     keys.append(np.full(len(sigs[-1]), key))
                 yield pa.RecordBatch.from_arrays([signed(np.concatenate(sigs)), pa.array(np.concatenate(keys))], names=["sig", "k1"])
 
@@ -172,12 +210,24 @@ class Join:
         self.words, self.percent = words, percent
 
     def sets(self) -> DataFrame:
+        """(doc_id, n_shingles, k1, k2) of every row; rows of negative n_shingles report a frequent shingle k1 instead."""
         out = self.docs.mapInArrow(_set_rows(self.words), f"doc_id {self.kind}, n_shingles long, k1 long, k2 long")
         return materialize(out, "sets")
 
-    def shared(self, classes: DataFrame) -> DataFrame:
+    def frequent(self, sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted frequent shingles and their places from rare to frequent; at most FREQUENT."""
+        sums = sets.where("n_shingles < 0").groupBy("k1").agg(F.sum(-F.col("n_shingles")).alias("n")).where(F.col("n") >= FREQUENT_FROM)
+        found = sums.orderBy(F.desc("n"), "k1").limit(FREQUENT).toArrow()
+        h, n = found["k1"].to_numpy().view(np.uint64), found["n"].to_numpy()
+        order = np.argsort(h)
+        rank = np.empty(len(h), np.int64)
+        rank[np.lexsort((h, n))] = np.arange(len(h))
+        return h[order], rank[order]
+
+    def shared(self, classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
         """(sig, rep, n): members of the signatures that at least two classes share."""
-        sigs = self.docs.mapInArrow(_signature_rows(self.words, Fraction(self.percent, 100)), "sig long, k1 long")
+        held = self.docs.sparkSession.sparkContext.broadcast(frequent)
+        sigs = self.docs.mapInArrow(_signature_rows(self.words, Fraction(self.percent, 100), held), "sig long, k1 long")
         bucket = Window.partitionBy("sig")
         many = sigs.withColumns({"lo": F.min("k1").over(bucket), "hi": F.max("k1").over(bucket)}).where("lo < hi").select("sig", "k1")
         many = materialize(many, "signatures")
@@ -294,10 +344,11 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     are told apart by their texts.  Shingles and sets are compared by 64-bit hashes.
     """
     join = Join(documents, words, percent)
-    sets = join.sets()
+    found = join.sets()
+    sets = found.where("n_shingles >= 0")
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "classes")
-    label = components(join.links(join.shared(classes)))
+    label = components(join.links(join.shared(classes, join.frequent(found))))
     named = classes.join(label, classes["rep"] == label["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("found"))
     named = named.withColumnsRenamed({"k1": "c1", "k2": "c2"})
     same = (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n_shingles") == F.col("n"))

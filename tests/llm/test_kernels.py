@@ -51,9 +51,13 @@ def test_similar_sets_share_a_signature(percent):
     rng = np.random.default_rng(percent)
     bands = partenum.Bands(Fraction(percent, 100))
     linked = 0
+    frequent = np.unique(rng.integers(0, 1 << 62, 200).astype(np.uint64))
+    rank = rng.permutation(len(frequent))
     for _ in range(1500):
         n = int(rng.integers(1, 400))
         a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        a = np.concatenate([a[: int(rng.integers(0, n + 1))], rng.choice(frequent, int(rng.integers(0, 60)), replace=False), a[-1:]])
+        n = len(a)
         lost, new = int(rng.integers(0, n // 6 + 2)), int(rng.integers(0, n // 6 + 2))
         b = np.concatenate([a[lost:], rng.integers(0, 1 << 62, new).astype(np.uint64)])
         a, b = np.unique(a), np.unique(b)
@@ -61,7 +65,7 @@ def test_similar_sets_share_a_signature(percent):
         if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
             linked += 1
             same = len(a) == len(b) == common
-            assert same or len(np.intersect1d(partenum.signatures(a, bands), partenum.signatures(b, bands)))
+            assert same or len(np.intersect1d(partenum.signatures(a, bands, frequent, rank), partenum.signatures(b, bands, frequent, rank)))
     assert linked > 50
 
 

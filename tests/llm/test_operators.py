@@ -103,7 +103,9 @@ def variants(seed):
 
 
 @pytest.mark.parametrize("n, percent, seed", [(4, 85, 1), (5, 80, 2), (3, 70, 3), (4, 90, 4)])
-def test_near_duplicates_equal_brute_force(spark, n, percent, seed):
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, n, percent, seed):
+    if seed % 2 == 0:  # half of the cases leave most shingles of the families out of the parts
+        monkeypatch.setattr(partenum, "FREQUENT_FROM", 12)
     rows = variants(seed)
     got = partenum.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n, percent).collect()
     want = components_of(rows, n, percent)
@@ -278,8 +280,8 @@ def test_rules_keep_good_documents(spark, odd, empty):
             assert rows[r["doc_id"]]["kept"] != rows[r["doc_id"]]["base_failed"]
     kept = outliers.keep_good(odd)
     assert kept.columns == odd.columns and outliers.keep_good(empty).count() == 0 and outliers.quality_rules(empty).count() == 0
-    # The null id also stands on a row that fails, so both rows of it go.
-    assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5, 6, 6]
+    # The null id also stands on a row that fails, so both rows of it go; 4 repeats its windows.
+    assert sorted(r["doc_id"] for r in kept.collect()) == [5, 6, 6]
 
 
 # 6 -- chat
