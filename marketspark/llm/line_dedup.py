@@ -22,6 +22,8 @@ from ..runtime import materialize
 TAU = 2
 #: Lines of fewer characters, such as headings and answers, repeat by nature and are left alone.
 MIN_CHARS = 20
+#: Most document ids that are sent to every executor when the texts of candidates are fetched: 16 MB.
+MOST_SENT = 1_000_000
 _SHIFT = 1 << 32
 
 
@@ -29,15 +31,17 @@ def _key(length: int | Column, number: int, segment: Column) -> Column:
     return F.xxhash64(length, F.lit(number), segment)
 
 
-def segment_keys(line: Column, tau: int = TAU) -> Column:
-    """Array of the keys under which a line meets every line of at most its length within ``tau`` edits.
+def segment_keys(line: Column, n: Column, tau: int = TAU) -> Column:
+    """Array of the keys under which a line of ``n`` characters meets every line of at most its length within ``tau`` edits.
+
+    Lines need (tau + 1)^2 characters, so that every substring lies inside.
 
     Segments are numbered from 0; the first ones have l div (tau + 1)
     characters and the last l mod (tau + 1) have one more.  A segment that starts at p in the shorter line starts between
     p - left and p + right in the longer one, where with i edits before it and tau - i after, and d the
     difference in length: |shift| <= i and |shift - d| <= tau - i.
     """
-    n, parts, keys = F.length(line), tau + 1, []
+    parts, keys = tau + 1, []
     for less in range(tau + 1):
         size = n - less
         base, longer = (size / parts).cast("int"), size % parts
@@ -47,10 +51,8 @@ def segment_keys(line: Column, tau: int = TAU) -> Column:
             width = base + (longer >= parts - i).cast("int")
             for shift in range(-i, i + 1):
                 if abs(shift - less) <= tau - i:
-                    at = start + shift
-                    inside = (at >= 0) & (at + width <= n)
-                    keys.append(F.when(inside, _key(size, i, F.substr(line, at + 1, width))))
-    return F.array_compact(F.array(*keys))
+                    keys.append(_key(size, i, F.substr(line, start + (shift + 1), width)))
+    return F.array_distinct(F.array(*keys))
 
 
 def banded_distance(a: Column, b: Column, tau: int = TAU) -> Column:
@@ -120,13 +122,18 @@ def _first(rows: DataFrame, *keys: str) -> DataFrame:
 
 def near_links(documents: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, line_no, near_doc, near_line, distance): each distinct line (by its first place) and every earlier distinct line within ``tau``."""
-    distinct = _first(occurrences(documents, min_chars), "line")
-    keys = distinct.select("doc_id", "line_no", F.explode(F.array_distinct(segment_keys(F.col("line"), tau))).alias("key"))
+    if min_chars < (tau + 1) ** 2:
+        raise ValueError(f"{tau} edits need lines of at least {(tau + 1) ** 2} characters")
+    distinct = _first(occurrences(documents, min_chars), "line").withColumn("n", F.length("line"))
+    keys = distinct.select("doc_id", "line_no", F.explode(segment_keys(F.col("line"), F.col("n"), tau)).alias("key"))
     # Distinct lines: a key's rows are as many lines, so two or more are candidates.
     shared = keys.withColumn("many", F.count("*").over(Window.partitionBy("key"))).where("many > 1").drop("many")
     shared = materialize(shared, "segments")
     wanted = materialize(shared.select("doc_id", "line_no").distinct(), "wanted")
-    texts = documents.withColumn("doc_id", F.col("doc_id").cast("long")).join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = materialize(wanted.select("doc_id").distinct(), "wanted-documents")
+    # Sent to the texts while they are few; otherwise both sides are shuffled.
+    ids = F.broadcast(ids) if ids.count() <= MOST_SENT else ids
+    texts = documents.withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left_semi")
     lines = occurrences(texts, min_chars).join(wanted, ["doc_id", "line_no"]).distinct()
     full = materialize(shared.join(lines, ["doc_id", "line_no"]), "candidates")
     a = full.select("key", "doc_id", "line_no", "line")

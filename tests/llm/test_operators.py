@@ -163,11 +163,11 @@ def test_segment_keys_and_banded_distance(spark):
     rng = random.Random(3)
     pairs = []
     for _ in range(600):
-        a = "".join(rng.choice("abcé") for _ in range(rng.randint(3, 14)))
-        pairs.append((a, edited(rng, a, rng.randrange(4)) or "x"))
+        a = "".join(rng.choice("abcé") for _ in range(rng.randint(19, 24)))
+        pairs.append((a, edited(rng, a, rng.randrange(5))))
     df = spark.createDataFrame(pairs, "a string, b string")
     for tau in (1, 2, 3):
-        meet = F.arrays_overlap(line_dedup.segment_keys(F.col("a"), tau), line_dedup.segment_keys(F.col("b"), tau))
+        meet = F.arrays_overlap(line_dedup.segment_keys(F.col("a"), F.length("a"), tau), line_dedup.segment_keys(F.col("b"), F.length("b"), tau))
         for r in df.select("a", "b", F.levenshtein("a", "b").alias("d"), line_dedup.banded_distance(F.col("a"), F.col("b"), tau).alias("e"), meet.alias("m")).collect():
             assert (r["e"] == r["d"]) if r["d"] <= tau else r["e"] > tau, r
             assert r["m"] or r["d"] > tau, r
