@@ -21,6 +21,19 @@ def packed(high: Column, low: Column, low_digits: int) -> Column:
     return (high.cast("decimal(18,0)") * scale).cast(_WIDE) + low.cast("decimal(19,0)")
 
 
+def packed_fields(*fields: tuple[Column, int]) -> Column:
+    """Order by several whole non-negative numbers, given with their most digits (38 together).
+
+    A value with more digits is an error in ANSI mode, not a wrong order.
+    """
+    total, shift = None, 0
+    for value, digits in reversed(fields):
+        scale = F.lit("1" + "0" * shift).cast(f"decimal({shift + 1},0)")
+        part = (value.cast(f"decimal({digits},0)") * scale).cast(_WIDE)
+        total, shift = part if total is None else (total + part).cast(_WIDE), shift + digits
+    return total
+
+
 def time_order(event_time: Column, event_id: Column) -> Column:
     """Order by time to the microsecond, then by id (any non-negative bigint)."""
     return packed(F.unix_micros(event_time), event_id, 19)

@@ -6,7 +6,7 @@ where it belongs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_utc
@@ -19,10 +19,17 @@ def insert(collection: DataFrame, new: DataFrame, now: Column | None = None) ->
 
 
 def update(collection: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
-    """Set the non-null fields of ``changes`` on the documents of the same id."""
+    """Set the non-null fields of ``changes`` on the documents of the same id.
+
+    Of several changes of one id the last one wins: by ``changed_at`` where the
+    changes have it (which is not a field then), else the largest by all fields.
+    """
     stamp = now if now is not None else F.current_timestamp()
-    fields = [c for c in changes.columns if c != "id"]
-    renamed = changes.select("id", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in fields])
+    fields = [c for c in changes.columns if c not in ("id", "changed_at")]
+    order = [F.desc(c) for c in ("changed_at", *fields) if c in changes.columns]
+    newest = Window.partitionBy("id").orderBy(*order or ["id"])
+    last = changes.withColumn("_age", F.row_number().over(newest)).filter("_age = 1")
+    renamed = last.select("id", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in fields])
     joined = collection.join(renamed, "id", "left")
     values = {c: F.coalesce(f"_new_{c}", c) for c in fields}
     values["updated_at"] = F.when(F.col("_hit"), stamp).otherwise(F.col("updated_at"))

@@ -264,8 +264,8 @@ def forecast_band(bars: DataFrame, names: DataFrame | None = None) -> DataFrame:
 
 
 def with_names(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Attach display names; a symbol without one is shown by its code."""
-    known = names.select("symbol", F.col("name").alias("_name"))
+    """Attach display names; a symbol without one is shown by its code, one with several by the first."""
+    known = names.groupBy("symbol").agg(F.min("name").alias("_name"))
     return df.join(known, "symbol", "left").withColumn("name", F.coalesce("_name", "symbol")).drop("_name")
 
 

@@ -80,6 +80,13 @@ def newest_snapshots(snapshots: DataFrame, days: int) -> DataFrame:
 MAX_DAILY_LOSS, MAX_DRAWDOWN, MAX_POSITION, MAX_TRADES = 0.02, 0.10, 0.20, 50
 
 
+def position_flags(positions: DataFrame) -> DataFrame:
+    """Which positions (owner, value) take more than the limit of their owner's total."""
+    total = F.sum("value").over(Window.partitionBy("owner"))
+    share = F.try_divide(F.col("value"), total)
+    return positions.withColumn("weight", share).withColumn("position_breach", F.coalesce(share > MAX_POSITION, F.lit(False)))
+
+
 def risk_flags(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumns({
         "loss_breach": F.col("daily_pnl_pct") <= -MAX_DAILY_LOSS,

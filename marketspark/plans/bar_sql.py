@@ -52,22 +52,25 @@ NATIVE = (BARS, LAYER1, LAYER2, LAYER3)
 
 
 def _ewm(value: str, alpha: str, first: int) -> str:
-    """Closed form of y1 = x1, y = (1-a) y' + a x over the pairs p.pos <= b.pos."""
-    weight = f"CASE WHEN p.pos = {first} THEN 1.0 ELSE {alpha} END * power(1.0 - {alpha}, b.pos - p.pos)"
-    return f"sum(CASE WHEN p.pos >= {first} THEN p.{value} * {weight} END)"
+    """y1 = x1, y = (1-a) y' + a x as one running sum: each x is divided by its decay, the sum multiplied by the row's.
+
+    At most some 2,500 days stand in a row, so the powers stay far inside the range of a double.
+    """
+    weight = f"CASE WHEN pos = {first} THEN 1.0 ELSE {alpha} END * power(1.0 - {alpha}, -pos)"
+    running = "OVER (PARTITION BY symbol ORDER BY pos ROWS UNBOUNDED PRECEDING)"
+    return f"power(1.0 - {alpha}, pos) * sum(CASE WHEN pos >= {first} THEN {value} * {weight} END) {running}"
 
 
 EWM1 = f"""deltas AS (SELECT symbol, pos, "close",
     greatest("close" - lag("close") OVER (PARTITION BY symbol ORDER BY pos), 0) AS up,
     greatest(lag("close") OVER (PARTITION BY symbol ORDER BY pos) - "close", 0) AS down FROM l1),
-ewm1 AS (SELECT b.symbol, b.pos, b."close",
+ewm1 AS (SELECT symbol, pos, "close",
     {_ewm('"close"', '(2.0 / 13)', 1)} AS ema12, {_ewm('"close"', '(2.0 / 27)', 1)} AS ema26,
     {_ewm('up', '(1.0 / 14)', 2)} AS avg_gain, {_ewm('down', '(1.0 / 14)', 2)} AS avg_loss
-  FROM deltas b JOIN deltas p ON b.symbol = p.symbol AND p.pos <= b.pos GROUP BY 1, 2, 3),
+  FROM deltas),
 ewm2 AS (SELECT *, (ema12 - ema26) / ("close" + 1e-9) AS macd,
     CASE WHEN pos > 1 THEN 100 - 100 / (1 + avg_gain / (avg_loss + 1e-9)) END AS rsi FROM ewm1)"""
-EWM2 = f"""ewm3 AS (SELECT b.symbol, b.pos, b.ema12, b.ema26, b.macd, b.rsi, b.avg_gain, b.avg_loss, {_ewm('macd', '(2.0 / 10)', 1)} AS macd_signal
-  FROM ewm2 b JOIN ewm2 p ON b.symbol = p.symbol AND p.pos <= b.pos GROUP BY 1, 2, 3, 4, 5, 6, 7, 8),
+EWM2 = f"""ewm3 AS (SELECT symbol, pos, ema12, ema26, macd, rsi, avg_gain, avg_loss, {_ewm('macd', '(2.0 / 10)', 1)} AS macd_signal FROM ewm2),
 l4 AS (SELECT l3.*, e.ema12, e.ema26, e.macd, e.macd_signal, e.rsi
   FROM l3 JOIN ewm3 e ON l3.symbol = e.symbol AND l3.pos = e.pos)"""
 RECURSIVE = (*NATIVE, EWM1, EWM2)

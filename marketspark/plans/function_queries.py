@@ -87,14 +87,20 @@ def f11(spark, sf):
 _SOFT = """vec AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 soft AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM vec),
 probs AS (SELECT vec_id, v, list_transform(e, lambda x: x / list_sum(e)) AS p FROM soft)"""
-_SOFT3 = """vec AS (SELECT vec_id, [CAST(embedding[1] AS DOUBLE), CAST(embedding[2] AS DOUBLE), CAST(embedding[3] AS DOUBLE)] AS v FROM embeddings),
+_SOFT3 = """cells AS (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+vec AS (SELECT vec_id, list(s ORDER BY c) AS v FROM (SELECT vec_id, i % 3 AS c, sum(CAST(x AS DOUBLE)) AS s FROM cells GROUP BY 1, 2) GROUP BY 1),
 soft AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM vec),
 probs AS (SELECT vec_id, list_transform(e, lambda x: x / list_sum(e)) AS p FROM soft)"""
 
 
-def vectors(spark, sf, first: int | None = None):
-    v = F.col("embedding").cast("array<double>")
-    return views.table(spark, sf, "embeddings").select("vec_id", (F.slice(v, 1, first) if first else v).alias("v"))
+def vectors(spark, sf):
+    return views.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+
+
+def class_scores(spark, sf):
+    """Three scores of every vector: the sums of its cells 0, 3, ..., 1, 4, ... and 2, 5, ..."""
+    every_third = lambda c: arrays.array_total(F.filter("v", lambda x, i: i % 3 == c))
+    return vectors(spark, sf).withColumn("v", F.array(*[every_third(c) for c in range(3)]))
 
 
 @query("f15_softmax", with_ctes(_SOFT, body="""
@@ -119,14 +125,14 @@ def f16(spark, sf):
 @query("f17_probability_map", with_ctes(_SOFT3, body="""
 SELECT vec_id, round(p[1], 4) AS sell, round(p[2], 4) AS hold, round(p[3], 4) AS buy FROM probs"""))
 def f17(spark, sf):
-    rows = vectors(spark, sf, 3).select("vec_id", serving.probability_map(arrays.softmax(F.col("v")), [-1, 0, 1]).alias("m"))
+    rows = class_scores(spark, sf).select("vec_id", serving.probability_map(arrays.softmax(F.col("v")), [-1, 0, 1]).alias("m"))
     return rows.select("vec_id", *[F.col("m")[k].alias(k.lower()) for k in ("SELL", "HOLD", "BUY")])
 
 
 @query("f18_argmax_signal", with_ctes(_SOFT3, body="""
 SELECT vec_id, CASE list_position(p, list_max(p)) WHEN 1 THEN 'SELL' WHEN 2 THEN 'HOLD' ELSE 'BUY' END AS signal FROM probs"""))
 def f18(spark, sf):
-    rows = vectors(spark, sf, 3)
+    rows = class_scores(spark, sf)
     return rows.select("vec_id", text.signal_of(arrays.argmax_index(F.col("v")) - 1).alias("signal"))
 
 
@@ -138,7 +144,7 @@ SELECT vec_id,
   CASE vec_id % 4 WHEN 3 THEN 1 ELSE round(p[3], 6) END AS hold FROM probs"""))
 def f19(spark, sf):
     p = F.transform(arrays.softmax(F.col("v")), lambda x: F.round(x, 6).cast("string"))
-    rows = vectors(spark, sf, 3).withColumn("p", p)
+    rows = class_scores(spark, sf).withColumn("p", p)
     named = F.format_string('"probabilities":{"BUY":%s,"-1":%s,"0":%s}', F.col("p")[0], F.col("p")[1], F.col("p")[2])
     listed = F.concat(F.lit('"prediction_scores":['), F.array_join("p", ","), F.lit("]"))
     which = F.col("vec_id") % 4

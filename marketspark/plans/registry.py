@@ -30,7 +30,7 @@ def with_ctes(*ctes: str, body: str) -> str:
 TICKS = """ticks AS (
   SELECT event_id, event_type AS symbol, upper(event_type) AS name, 'SIM' AS market, ts AS event_time,
          CAST(50 + k * 0.5 AS DOUBLE) AS price, CAST(50 + k * 0.5 AS DOUBLE) AS open,
-         CAST(50 + k * 0.5 AS DOUBLE) AS high, CAST(50 + k * 0.5 AS DOUBLE) AS low,
+         CAST(51 + k * 0.5 AS DOUBLE) AS high, CAST(48 + k * 0.5 AS DOUBLE) AS low,
          CAST(50 + k * 0.5 AS DOUBLE) AS "close",
          CAST(floor(value * 100) AS BIGINT) AS volume,
          CAST(k - 50 AS DOUBLE) / CAST(10 AS DOUBLE) AS change_pct

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import ticks as op
 from ..runtime import shared_dir
 from ..sources import views, writers
+from ..schemas import FILTERED, WINDOW_BAR
 from ..schemas import MACRO as MACRO_SCHEMA
 from ..streaming import jobs, sinks, sources, state
 from .registry import MACRO, TICKS, query, with_ctes
@@ -16,6 +17,7 @@ from .tick_queries import _ALERTS, _RUN, _naive
 _CLOSED = "(SELECT max(event_time) - INTERVAL '2 minutes' FROM ticks)"
 _BAR = """symbol, arg_min(price, {'a': event_time, 'b': event_id}) AS open, max(price) AS high, min(price) AS low,
   arg_max(price, {'a': event_time, 'b': event_id}) AS "close", CAST(sum(volume) AS BIGINT) AS volume, count(*) AS event_count"""
+_FIELD_BAR = _BAR.replace("max(price)", "max(high)").replace("min(price)", "min(low)")
 _BAR_COLUMNS = ["symbol", "open", "high", "low", "close", "volume", "event_count"]
 
 
@@ -24,7 +26,7 @@ def _session(spark):
 
 
 def _tick_stream(session, sf):
-    events = sources.file_stream(session, sf, sources.EVENT_SCHEMA, "events.parquet")
+    events = sources.table_stream(session, f"{sf}/events.parquet", sources.EVENT_SCHEMA)
     return sources.with_event_time(views.ticks_from_events(events))
 
 
@@ -126,7 +128,7 @@ def k1(spark, sf):
 _SLIDING = with_ctes(TICKS, """slots AS (
   SELECT t.*, time_bucket(INTERVAL '1 minute', event_time) - to_minutes(CAST(i AS BIGINT)) AS window_start
   FROM ticks t, range(5) r(i))""", body=f"""
-SELECT window_start, {_BAR} FROM slots GROUP BY window_start, symbol HAVING window_start + INTERVAL '5 minutes' <= {_CLOSED}""")
+SELECT window_start, {_FIELD_BAR} FROM slots GROUP BY window_start, symbol HAVING window_start + INTERVAL '5 minutes' <= {_CLOSED}""")
 
 
 def _files(spark, df, out):
@@ -142,7 +144,7 @@ def g2(spark, sf):
 
 @query("k2_parquet_append_sink", with_ctes(TICKS, body=_minute_sql()))
 def k2(spark, sf):
-    bars = op.window_bars(_tick_stream(_session(spark), sf), "1 minute")
+    bars = op.minute_bars(_tick_stream(_session(spark), sf))
     return _naive(_files(spark, bars, shared_dir(spark, "k2")), "window_start").select("window_start", *_BAR_COLUMNS)
 
 
@@ -209,7 +211,7 @@ def a4_stream(spark, sf):
 def g5(spark, sf):
     """A window left open by the first run is closed, once, by the second."""
     out = shared_dir(spark, "g5")
-    _two_runs(spark, sf, out, lambda t: sinks.to_files(op.window_bars(t, "1 minute"), f"{out}/rows", f"{out}/cp", once=True))
+    _two_runs(spark, sf, out, lambda t: sinks.to_files(op.minute_bars(t), f"{out}/rows", f"{out}/cp", once=True))
     return _naive(spark.read.parquet(f"{out}/rows"), "window_start").select("window_start", *_BAR_COLUMNS)
 
 
@@ -226,7 +228,7 @@ def g6(spark, sf):
     full result, windows still open included."""
     out = shared_dir(spark, "g6")
     _two_runs(spark, sf, out, lambda t: sinks.to_store(
-        op.window_bars(t, "1 minute"), f"{out}/rows", f"{out}/cp", mode="update", once=True))
+        op.minute_bars(t), f"{out}/rows", f"{out}/cp", mode="update", once=True))
     rows = sinks.newest_version(spark.read.parquet(f"{out}/rows"), ["window_start", "symbol"])
     return _naive(rows, "window_start").select("window_start", *_BAR_COLUMNS)
 
@@ -266,13 +268,21 @@ def _counts(spark, outputs):
 
 
 @query("k12_fan_out", with_ctes(TICKS, _RUN, _ALERTS, body=f"""
-SELECT 'filtered' AS output, count(*) AS n FROM ticks WHERE abs(change_pct) >= 2
-UNION ALL SELECT 'alerts', count(*) FROM alerts
-UNION ALL SELECT 'bars', count(*) FROM ({_minute_sql()})"""))
+SELECT 'stock.filtered.significant' AS output, symbol AS key, count(*) AS n, round(sum(price), 2) AS total FROM ticks WHERE abs(change_pct) >= 2 GROUP BY 2
+UNION ALL SELECT 'alerts', symbol, count(*), round(sum(current_value), 2) FROM alerts GROUP BY 2
+UNION ALL SELECT 'stock.aggregated.ohlcv', symbol, count(*), round(sum(high - low), 2) FROM ({_minute_sql()}) GROUP BY 2"""))
 def k12(spark, sf):
     out = shared_dir(spark, "k12")
     _done(*jobs.fan_out(_tick_stream(_session(spark), sf), out, f"{out}/cp", once=True))
-    return _counts(spark, {"filtered": f"{out}/filtered", "alerts": f"{out}/volume/alerts", "bars": f"{out}/bars"})
+
+    def messages(path, schema, value):
+        rows = spark.read.parquet(path).select("topic", "key", F.from_json("value", schema).alias("m"))
+        return rows.groupBy(F.col("topic").alias("output"), "key").agg(F.count("*").alias("n"), F.round(F.sum(value), 2).alias("total"))
+
+    alerts = spark.read.parquet(f"{out}/volume/alerts").groupBy(F.lit("alerts").alias("output"), F.col("symbol").alias("key")).agg(
+        F.count("*").alias("n"), F.round(F.sum("current_value"), 2).alias("total"))
+    filtered = messages(f"{out}/filtered", FILTERED, F.col("m.price"))
+    return filtered.unionByName(alerts).unionByName(messages(f"{out}/bars", WINDOW_BAR, F.col("m.high") - F.col("m.low")))
 
 
 @query("g13_downstream_tap", with_ctes(TICKS, body="""
@@ -300,7 +310,7 @@ def g11(spark, sf):
         views.table(spark, sf, "events").filter(part).write.mode("append").parquet(f"{out}/in")
         events = sources.file_stream(_session(spark), f"{out}/in", sources.EVENT_SCHEMA)
         ticks = sources.with_event_time(views.ticks_from_events(events))
-        _done(sinks.to_files(op.window_bars(ticks, "1 minute"), f"{out}/rows", f"{out}/cp", once=True))
+        _done(sinks.to_files(op.minute_bars(ticks), f"{out}/rows", f"{out}/cp", once=True))
     return _naive(spark.read.parquet(f"{out}/rows"), "window_start").select("window_start", *_BAR_COLUMNS)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ordering import packed
+from ..functions.ordering import packed_fields
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +24,8 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("event_time"),
         price.alias("price"),
         price.alias("open"),
-        price.alias("high"),
-        price.alias("low"),
+        (price + 1).alias("high"),
+        (price - 2).alias("low"),
         price.alias("close"),
         F.floor(F.col("value") * 100).cast("bigint").alias("volume"),
         ((k - 50) / 10.0).cast("double").alias("change_pct"),
@@ -45,8 +45,7 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     items = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice")
-    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    order = packed(line, F.col("l_partkey") * 1_000_000_000 + F.round(price * 100).cast("bigint"), 19)
+    order = packed_fields((F.col("l_orderkey"), 13), (F.col("l_linenumber"), 4), (F.col("l_partkey"), 12), (F.round(price * 100), 9))
     grouped = items.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date")).agg(
         F.min_by(price, order).alias("open"),
         F.max(price).alias("high"),

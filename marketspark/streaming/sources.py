@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TICK
-from ..sources.messages import decode
+from ..sources.messages import checked, decode
 
 WATERMARK = "2 minutes"
 MESSAGE_SCHEMA = "key string, value string, topic string"
@@ -37,11 +37,30 @@ def file_stream(spark: SparkSession, path: str, schema: str, pattern: str = "*.p
     return reader.parquet(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A parquet table as a stream, be it one file or a folder of files."""
+    # The pattern matches the file or the folder of that name; a plain file path is no stream source.
+    return spark.readStream.schema(schema).parquet(f"{path}*")
+
+
 def parse_ticks(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Decoded ticks with event time and watermark; undecodable ones fall out."""
+    """Decoded ticks with event time, watermark and ``event_id``; undecodable ones fall out.
+
+    ``event_id`` orders ticks of one time: the place in the topic (up to 2^17 partitions of 2^46
+    messages), or where messages come without one, a hash of the message.
+    """
+    if {"partition", "offset"} <= set(messages.columns):
+        place = F.col("partition").cast("bigint") * (1 << 46) + F.col("offset")
+    else:
+        place = F.xxhash64("value").bitwiseAND(F.lit((1 << 63) - 1))
     keep = [c for c in ("partition", "offset") if c in messages.columns]
-    rows = decode(messages, TICK, *keep).withColumn("event_time", F.to_timestamp("timestamp"))
-    return with_event_time(rows.filter("symbol is not null"), watermark)
+    rows = decode(messages.withColumn("event_id", place), TICK, "event_id", *keep)
+    return with_event_time(rows.withColumn("event_time", F.to_timestamp("timestamp")).filter("symbol is not null"), watermark)
+
+
+def dead_letters(messages: DataFrame) -> DataFrame:
+    """The messages that :func:`parse_ticks` leaves out, with the reason; a stream of its own beside the parsed one."""
+    return checked(messages, TICK, optional=tuple(f.name for f in TICK.fields if f.nullable)).filter("error is not null")
 
 
 def with_event_time(rows: DataFrame, watermark: str = WATERMARK) -> DataFrame:
