@@ -25,6 +25,9 @@ END_ID = 0
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile("[^\\S \\n]|\\u180e")
 _LOADED: dict[str, "Encoder"] = {}
+#: The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on in order.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 
 
 class Encoder(dict):
@@ -33,20 +36,35 @@ class Encoder(dict):
     The pre-tokeniser of a byte-level BPE never joins a non-space to a space
     that follows, nor a letter to full stops or commas, so the ids of a text are those of its chunks one
     after another.  A text with any space but blank and newline is encoded whole.
+    A new chunk that is one Latin word goes to the tokenizer's model directly, past the pre-tokeniser that would leave it as it is.
+    A tokenizer of another kind encodes every text whole.
     The memory is two generations of at most ``limit`` chunks.
     """
 
     def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, before = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.by_chunk = (
+            isinstance(self.model, BPE) and isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space
+            and self.tokenizer.normalizer is None
+        )
         self.limit, self.older = limit, {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def new(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if word.isalpha() and max(word) < "\u0250":
+            return array("I", [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+        return self.whole(chunk)
+
     @staticmethod
     def parts(chunk: str) -> tuple[str, str]:
         """A chunk without the full stops and commas after its last letter, and these."""
@@ -65,7 +83,7 @@ class Encoder(dict):
             if _OTHER_SPACE.search(chunk):
                 raise KeyError(chunk)
             base, tail = self.parts(chunk)
-            found = self[base] + self[tail] if tail else self.whole(chunk)
+            found = self[base] + self[tail] if tail else self.new(chunk)
         if len(chunk) <= 64:
             self.keep(chunk, found)
         return found
@@ -73,6 +91,8 @@ class Encoder(dict):
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.by_chunk:
+            return self.whole(text)
         try:
             return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
         except KeyError:  # a chunk with another space, which is never remembered
