@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, chat, factor_machine, kdtree, langid, line_dedup, mixing, outliers, packing, partenum, text
+from . import bloom_lm, chat, factor_machine, kdtree, langid, line_dedup, mixing, outliers, packing, partenum, quality_sql, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +27,10 @@ def register(name: str):
 
 @register("op5_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outliers.quality_rules(_table(spark, sf_dir, "documents"))
+    return outliers.quality_rules(_table(spark, sf_dir, "documents")).drop("distance")
+
+
+ORACLES["op5_quality_rules"] = quality_sql.oracle()
 
 
 @register("op8_source_mix")
