@@ -357,8 +357,14 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
 
 
 def drop_near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` with one row of each component: that of its smallest id.  Rows without words or id all stay."""
-    found = near_duplicates(documents, words, percent)
-    gone = found.where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    """``documents`` with one row of each component: that of its smallest id.  Rows without words or id all stay.
+
+    Exact repeats of a row that stays are dropped, where there are any.
+    """
+    found = materialize(near_duplicates(documents, words, percent).where("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     rows = documents.join(gone, documents["doc_id"] == F.col("__gone"), "left_anti")
-    return rows
+    if found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rows
+    one = rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+    return one.unionByName(rows.where("doc_id IS NULL"))

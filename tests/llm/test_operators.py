@@ -121,6 +121,8 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     kept = partenum.drop_near_duplicates(odd)
     assert kept.columns == odd.columns
     assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == [1, 2, 3, 4, 5, 7, 9, 10]
+    twice = odd.where("doc_id = 6 OR doc_id = 9 OR doc_id IS NULL")
+    assert Counter(r["doc_id"] for r in partenum.drop_near_duplicates(twice).collect()) == Counter({None: 2, 6: 1, 9: 1})
 
 
 # 2 -- quality classifier
