@@ -115,14 +115,17 @@ def k11(spark, sf):
     return spark.read.parquet(f"{out}/rows").groupBy("symbol").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
 
 
-@query("k1_named_update_query", "SELECT 'watch' AS name, count(*) AS input_rows FROM events")
+@query("k1_named_update_query", with_ctes(TICKS, body="""
+SELECT 'watch' AS query, time_bucket(INTERVAL '6 hours', event_time) AS window_start, symbol, count(*) AS event_count,
+       CAST(sum(volume) AS BIGINT) AS volume FROM ticks GROUP BY 2, 3"""))
 def k1(spark, sf):
+    """What a named query in update mode has sent, in its newest version."""
     out = shared_dir(spark, "k1")
     bars = op.window_bars(_tick_stream(_session(spark), sf), "6 hours")
-    q = sinks.to_console(bars, "watch", f"{out}/cp", fmt="noop", once=True)
+    q = sinks.to_store(bars, f"{out}/rows", f"{out}/cp", mode="update", once=True, name="watch")
     _done(q)
-    read = sum(p["numInputRows"] for p in q.recentProgress)
-    return spark.range(1).select(F.lit(q.name).alias("name"), F.lit(read).cast("bigint").alias("input_rows"))
+    rows = sinks.newest_version(spark.read.parquet(f"{out}/rows"), ["window_start", "symbol"])
+    return _naive(rows, "window_start").select(F.lit(q.name).alias("query"), "window_start", "symbol", "event_count", "volume")
 
 
 _SLIDING = with_ctes(TICKS, """slots AS (

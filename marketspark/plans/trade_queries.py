@@ -89,6 +89,14 @@ def c8(spark, sf):
         "broker", "snapshot_date", "loss_breach", "drawdown_breach", "trade_breach")
 
 
+@query("c8_position_flags", with_ctes(TRADES, _AMOUNT, """held AS (SELECT broker AS owner, symbol, sum(amount) AS value FROM amounts GROUP BY 1, 2),
+weights AS (SELECT *, value / nullif(sum(value) OVER (PARTITION BY owner), 0) AS weight FROM held)""", body="""
+SELECT owner, symbol, round(weight, 8) AS weight, coalesce(weight > 0.20, false) AS position_breach FROM weights"""))
+def c8_positions(spark, sf):
+    held = trades(spark, sf).groupBy(F.col("broker").alias("owner"), "symbol").agg(F.sum("amount").alias("value"))
+    return tr.position_flags(held).select("owner", "symbol", F.round("weight", 8).alias("weight"), "position_breach")
+
+
 @query("c9_watchlist_scan", with_ctes(BARS, SYMBOLS, LAYER1, _CROSS, body="""
 SELECT symbol, "date", signal, CASE signal WHEN 'BUY' THEN 'fast average crossed above slow'
        WHEN 'SELL' THEN 'fast average crossed below slow' ELSE 'no cross' END AS reason

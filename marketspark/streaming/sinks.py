@@ -44,7 +44,7 @@ def to_console(df: DataFrame, name: str, checkpoint: str, *, fmt: str = "console
 
 
 def to_store(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", once: bool = False,
-             trigger: str = TRIGGER) -> StreamingQuery:
+             trigger: str = TRIGGER, name: str | None = None) -> StreamingQuery:
     """Write every micro-batch to its own folder ``batch=<id>``.
 
     A batch that is run again after a failure overwrites its folder, so the
@@ -54,12 +54,13 @@ def to_store(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append",
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return each_batch(df, save, checkpoint, mode=mode, once=once, trigger=trigger)
+    return each_batch(df, save, checkpoint, mode=mode, once=once, trigger=trigger, name=name)
 
 
 def each_batch(df: DataFrame, save: Callable[[DataFrame, int], None], checkpoint: str, *, mode: str = "append",
-               once: bool = False, trigger: str = TRIGGER) -> StreamingQuery:
+               once: bool = False, trigger: str = TRIGGER, name: str | None = None) -> StreamingQuery:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(save)
+    writer = writer.queryName(name) if name else writer
     return _start(writer, once, trigger)
 
 
