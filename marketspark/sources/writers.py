@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,9 +41,16 @@ def read_training_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def publish(df: DataFrame, key: str, topic: str, fmt: str = "kafka", **options) -> None:
-    """Rows as keyed JSON messages to a topic, or to files for ``fmt`` parquet."""
+def publish(df: DataFrame, key: str, topic: str, fmt: str = "kafka", **options) -> tuple[int, int]:
+    """Rows as keyed JSON messages to a topic, or to files for ``fmt`` parquet; gives (sent, errors).
+
+    A row without a key cannot be ordered by it; it is counted as an error and not sent.
+    The counts are observed while the messages are written.
+    """
     messages = df.select(
         F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"), F.lit(topic).alias("topic"))
-    writer = messages.write.format(fmt).options(**options)
+    good, counts = F.col("key").isNotNull(), Observation()
+    counted = messages.observe(counts, F.count_if(good).alias("sent"), F.count_if(~good).alias("errors")).filter(good)
+    writer = counted.write.format(fmt).options(**options)
     (writer if fmt == "kafka" else writer.mode("append")).save()
+    return counts.get["sent"], counts.get["errors"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketspark.operators import documents, stats, ticks, trades
 from marketspark.plans import QUERIES
 from marketspark.schemas import TICK
-from marketspark.sources import views
+from marketspark.sources import views, writers
 from marketspark.streaming import sources
 
 SF = "/root/testdata/sf0.001"
@@ -74,3 +74,9 @@ def test_position_limit(spark):
     rows = spark.createDataFrame([("p", 10.0), ("p", 90.0), ("q", 0.0)], "owner string, value double")
     assert {(r["owner"], r["value"]): r["position_breach"] for r in trades.position_flags(rows).collect()} == {
         ("p", 10.0): False, ("p", 90.0): True, ("q", 0.0): False}
+
+
+def test_publish_counts_what_it_sends(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "symbol string, price int")
+    assert writers.publish(rows, "symbol", "t", fmt="parquet", path=str(tmp_path / "t")) == (2, 1)
+    assert {r["key"] for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {"a", "b"}
