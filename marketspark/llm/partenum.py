@@ -38,6 +38,9 @@ SLACK, THIN = 15, (3, 2, 1)
 #: FREQUENT_FROM reported texts, FREQUENT at most, are left out.  16 bytes each.
 LOCAL_FROM, FREQUENT_FROM, FREQUENT = 6, 40, 1 << 17
 _COUNTED = 4_000_000
+#: A set's sketch: for each of 64 x SKETCH hash buckets, whether it holds an odd number of its shingles.
+SKETCH = 8
+_ODD = [f"odd{i}" for i in range(SKETCH)]
 _TURNS = np.array([0x8CB92BA72F3D8DD7, 0xABD1F5D7C3A96D2B, 0xE7037ED1A0B428DB, 0xC6A4A7935BD1E995, 0x9FB21C651E98DF25,
                    0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 _REMEMBERED = 200_000
@@ -134,28 +137,34 @@ def _keys(shingles: np.ndarray) -> tuple[int, int]:
     return pair[0], pair[1]
 
 
+def _sketch(shingles: np.ndarray) -> tuple[int, ...]:
+    place = (mix(shingles ^ _TURNS[5]) % np.uint64(64 * SKETCH)).astype(np.int64)
+    odd = (np.bincount(place, minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return tuple(np.packbits(odd).view(np.int64).tolist())
+
+
 def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [np.zeros(0, np.uint64)], 0
 
-        def rows(ids: pa.Array, n: list | np.ndarray, k1, k2) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in (n, k1, k2))], names=["doc_id", "n_shingles", "k1", "k2"])
+        def rows(ids: pa.Array, *columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "n_shingles", "k1", "k2", *_ODD])
 
         def often() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(held), return_counts=True)
             h, n = h[n >= LOCAL_FROM], n[n >= LOCAL_FROM]
             held[1:] = []
-            return rows(pa.nulls(len(h), kind), -n, h.view(np.int64), np.zeros(len(h), np.int64))
+            return rows(pa.nulls(len(h), kind), -n, h.view(np.int64), *[np.zeros(len(h), np.int64)] * (1 + SKETCH))
 
         kind = pa.int64()
         for batch in batches:
             found, kind = [], batch.schema.field("doc_id").type
             for part in slices(batch.column("text")):
                 for row, s in shingle_sets(part, words):
-                    found.append((row, len(s), *_keys(s)))
+                    found.append((row, len(s), *_keys(s), *_sketch(s)))
                     held.append(s)
                     size += len(s)
-            at, *columns = zip(*found) if found else ((),) * 4
+            at, *columns = zip(*found) if found else ((),) * (4 + SKETCH)
             yield rows(batch.column("doc_id").take(pa.array(at, pa.int64())), *columns)
             if size > _COUNTED:
                 yield often()
@@ -210,8 +219,8 @@ class Join:
         self.words, self.percent = words, percent
 
     def sets(self) -> DataFrame:
-        """(doc_id, n_shingles, k1, k2) of every row; rows of negative n_shingles report a frequent shingle k1 instead."""
-        out = self.docs.mapInArrow(_set_rows(self.words), f"doc_id {self.kind}, n_shingles long, k1 long, k2 long")
+        """(doc_id, n_shingles, k1, k2, odd*) of every row; rows of negative n_shingles report a frequent shingle k1 instead."""
+        out = self.docs.mapInArrow(_set_rows(self.words), f"doc_id {self.kind}, n_shingles long, k1 long, k2 long, {' long, '.join(_ODD)} long")
         return materialize(out, "sets")
 
     def frequent(self, sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -308,10 +317,12 @@ class Join:
         pairs = left.join(right, ["hub", "e"]).where((F.col("rep") != F.col("brep")) & self.similar_size("n", "bn") & enough)
         return pairs.select(F.least("rep", "brep").alias("a"), F.greatest("rep", "brep").alias("b")).distinct()
 
-    def across(self, members: DataFrame, stars: DataFrame, label: DataFrame) -> DataFrame:
+    def across(self, members: DataFrame, stars: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
         """Candidate pairs of one signature that lie around different hubs and in different components.
 
         One of a pair is outside the signature's most frequent group, so only these few meet all the others.
+        Two sets differ by at least as many shingles as there are buckets in which
+        their sketches differ, which rules out nearly all pairs that are not similar.
         """
         own = stars.select(F.col("rep").alias("s_rep"), F.col("hub").alias("star"), F.when(F.col("close"), F.col("hub")).alias("near"))
         rows = members.join(own, F.col("rep") == F.col("s_rep"), "left").join(label, F.col("rep") == F.col("node"), "left").select(
@@ -320,17 +331,20 @@ class Join:
         groups = rows.groupBy("sig", "near").agg(F.count("*").alias("many"))
         main = groups.groupBy("sig").agg(F.max(F.struct("many", "near")).alias("m"), F.count("*").alias("k")).where("k > 1")
         main = materialize(main.select("sig", F.col("m.near").alias("main")), "mixed")
-        few = rows.join(main, "sig").where("near <> main")
-        other = rows.join(main.select("sig"), "sig").select("sig", *[F.col(x).alias(f"b{x}") for x in ("rep", "n", "star", "near", "c")])
+        mixed = materialize(rows.join(main, "sig").join(classes.select("rep", *_ODD), "rep"), "sketched")
+        few = mixed.where("near <> main")
+        other = mixed.select("sig", *[F.col(x).alias(f"b{x}") for x in ("rep", "n", "star", "near", "c", *_ODD)])
+        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"b{x}"))) for x in _ODD[1:]), F.bit_count(F.col(_ODD[0]).bitwiseXOR(F.col(f"b{_ODD[0]}"))))
+        close = apart * (100 + self.percent) <= (100 - self.percent) * (F.col("n") + F.col("bn"))
         new = (F.col("near") != F.col("bnear")) & (F.col("c") != F.col("bc")) & (F.col("star") != F.col("brep")) & (F.col("bstar") != F.col("rep"))
-        pairs = few.join(other, "sig").where(new & self.similar_size("n", "bn"))
+        pairs = few.join(other, "sig").where(new & self.similar_size("n", "bn") & close)
         return pairs.select(F.least("rep", "brep").alias("a"), F.greatest("rep", "brep").alias("b")).distinct()
 
-    def links(self, members: DataFrame) -> DataFrame:
+    def links(self, members: DataFrame, classes: DataFrame) -> DataFrame:
         """Links that leave no two similar classes in different components."""
         stars = self.stars(members)
         links = stars.where("linked").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-        pairs = self.around_hubs(stars).unionByName(self.across(members, stars, components(links))).distinct()
+        pairs = self.around_hubs(stars).unionByName(self.across(members, stars, components(links), classes)).distinct()
         return links.unionByName(self.verified(pairs))
 
 
@@ -346,9 +360,10 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     join = Join(documents, words, percent)
     found = join.sets()
     sets = found.where("n_shingles >= 0")
-    classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"))
+    classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", F.col("n_shingles").alias("n")).agg(
+        F.min("doc_id").alias("rep"), *[F.min(x).alias(x) for x in _ODD])  # equal in a class
     classes = materialize(classes, "classes")
-    label = components(join.links(join.shared(classes, join.frequent(found))))
+    label = components(join.links(join.shared(classes, join.frequent(found)), classes))
     named = classes.join(label, classes["rep"] == label["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("found"))
     named = named.withColumnsRenamed({"k1": "c1", "k2": "c2"})
     same = (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n_shingles") == F.col("n"))
