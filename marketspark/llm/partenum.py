@@ -282,7 +282,12 @@ class Join:
             "close": apart * (100 + p) <= 4 * (100 - p) * size,
         }), "differences")
 
-    def around_hubs(self, stars: DataFrame) -> DataFrame:
+    def may_be_similar(self):
+        """Whether the sketches (odd*, bodd*) of two sets of n and bn shingles differ in no more buckets than similar sets can."""
+        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"b{x}"))) for x in _ODD[1:]), F.bit_count(F.col(_ODD[0]).bitwiseXOR(F.col(f"b{_ODD[0]}"))))
+        return apart * (100 + self.percent) <= (100 - self.percent) * (F.col("n") + F.col("bn"))
+
+    def around_hubs(self, stars: DataFrame, classes: DataFrame) -> DataFrame:
         """Candidate pairs of classes close to one hub h, of which a is not linked to it.
 
         If a and b are similar, their differences from h share more than p / (100 + p) of
@@ -308,13 +313,14 @@ class Join:
         at = F.row_number().over(Window.partitionBy("hub", "rep").orderBy("old", "often", "e"))
         size = F.col("na") + F.col("nr")
         place = at + F.when(F.col("old") == 0, new_alone).otherwise(alone)
-        placed = materialize(placed.withColumn("prefix", place <= size - F.floor(size * p / (100 + p))), "placed")
-        left = placed.where("NOT linked").select("hub", "e", "old", "rep", "n", "na", "nr")
-        right = placed.where("prefix").select("hub", "e", *[F.col(c).alias(f"b{c}") for c in ("rep", "n", "na", "nr")])
+        placed = placed.withColumn("prefix", place <= size - F.floor(size * p / (100 + p))).join(classes.select("rep", *_ODD), "rep")
+        placed = materialize(placed, "placed")
+        left = placed.where("NOT linked").select("hub", "e", "old", "rep", "n", "na", "nr", *_ODD)
+        right = placed.where("prefix").select("hub", "e", *[F.col(c).alias(f"b{c}") for c in ("rep", "n", "na", "nr", *_ODD)])
         removed = F.least("nr", "bnr")
         most = removed + F.when(F.col("old") == 0, F.least("na", "bna")).otherwise(0)
         enough = 2 * most * (100 + p) >= (F.col("na") + F.col("nr") + F.col("bna") + F.col("bnr")) * (100 + p) - (100 - p) * (F.col("n") + F.col("bn"))
-        pairs = left.join(right, ["hub", "e"]).where((F.col("rep") != F.col("brep")) & self.similar_size("n", "bn") & enough)
+        pairs = left.join(right, ["hub", "e"]).where((F.col("rep") != F.col("brep")) & self.similar_size("n", "bn") & enough & self.may_be_similar())
         return pairs.select(F.least("rep", "brep").alias("a"), F.greatest("rep", "brep").alias("b")).distinct()
 
     def across(self, members: DataFrame, stars: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
@@ -334,17 +340,15 @@ class Join:
         mixed = materialize(rows.join(main, "sig").join(classes.select("rep", *_ODD), "rep"), "sketched")
         few = mixed.where("near <> main")
         other = mixed.select("sig", *[F.col(x).alias(f"b{x}") for x in ("rep", "n", "star", "near", "c", *_ODD)])
-        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"b{x}"))) for x in _ODD[1:]), F.bit_count(F.col(_ODD[0]).bitwiseXOR(F.col(f"b{_ODD[0]}"))))
-        close = apart * (100 + self.percent) <= (100 - self.percent) * (F.col("n") + F.col("bn"))
         new = (F.col("near") != F.col("bnear")) & (F.col("c") != F.col("bc")) & (F.col("star") != F.col("brep")) & (F.col("bstar") != F.col("rep"))
-        pairs = few.join(other, "sig").where(new & self.similar_size("n", "bn") & close)
+        pairs = few.join(other, "sig").where(new & self.similar_size("n", "bn") & self.may_be_similar())
         return pairs.select(F.least("rep", "brep").alias("a"), F.greatest("rep", "brep").alias("b")).distinct()
 
     def links(self, members: DataFrame, classes: DataFrame) -> DataFrame:
         """Links that leave no two similar classes in different components."""
         stars = self.stars(members)
         links = stars.where("linked").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-        pairs = self.around_hubs(stars).unionByName(self.across(members, stars, components(links), classes)).distinct()
+        pairs = self.around_hubs(stars, classes).unionByName(self.across(members, stars, components(links), classes)).distinct()
         return links.unionByName(self.verified(pairs))
 
 
