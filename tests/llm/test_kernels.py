@@ -155,6 +155,26 @@ def test_filter_has_no_false_negatives():
     assert (f.level(rng.integers(0, 1 << 63, 4000).astype(np.uint64)) == 0).mean() > 0.9
 
 
+@pytest.mark.parametrize("n", [1000, 300000])
+def test_filter_keeps_its_false_positive_rate(n):
+    rng = np.random.default_rng(7)
+    h = rng.integers(0, 1 << 63, n).astype(np.uint64)
+    f = bloom_lm.Filter.for_entries(n)
+    f.add(0, h, np.ones(n, np.int64))
+    other = rng.integers(0, 1 << 63, 50000).astype(np.uint64)
+    assert (f.level(other, np.zeros(50000, np.int64)) > 0).mean() < 1.3 * bloom_lm.FALSE_POSITIVES
+
+
+def test_counts_survive_their_parts():
+    rng = np.random.default_rng(8)
+    h = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64))
+    n = rng.integers(1, 1 << 40, len(h))
+    batch = bloom_lm._parts(h, n, 512)
+    back = {int(x): int(y) for g, c in zip(batch.column("gaps").to_pylist(), batch.column("n").to_pylist())
+            for x, y in zip(np.cumsum(bloom_lm._numbers(g)), bloom_lm._numbers(c, np.int64))}
+    assert back == dict(zip(h.tolist(), n.tolist()))
+
+
 def test_mixture_finds_both_languages():
     rng = np.random.default_rng(6)
     log_p = np.log(rng.dirichlet(np.full(500, 0.1), 3) + 1e-9)

@@ -474,3 +474,47 @@ def test_language_model_without_training_rows(odd, empty):
     rows = bloom_lm.score_documents(odd, F.lit(True)).collect()
     assert len(rows) == odd.count() and all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in rows)
     assert bloom_lm.score_documents(empty, F.lit(False)).count() == 0
+
+
+def test_language_model_is_near_exact_counts_beyond_the_broadcast(spark):
+    """More distinct words and bigrams than the bound on the filter in every worker has room for; all bigrams are told apart."""
+    rng = random.Random(12)
+    partner = {}
+    texts = []
+    for i in range(60):
+        out = []
+        while len(out) < 5000:
+            w = f"w{rng.randrange(90000)}"
+            out += [w, partner.setdefault(w, f"p{len(partner)}")]
+        texts.append(" ".join(out))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    train = [[None, *t.split(" "), None] for i, t in enumerate(texts) if i >= 6]
+    one, two = Counter(w for t in train for w in t[1:]), Counter(b for t in train for b in zip(t, t[1:]))
+    n, v = sum(one.values()), len(one)
+    assert v > 1 << 16
+    middle = {c: float(bloom_lm.expected(bloom_lm.quantise(np.array([c])))[0]) for c in {*one.values(), *two.values()}} | {0: 0.0}
+
+    def exact(t):
+        total = 0.0
+        for a, b in zip([None, *t], [*t, None]):
+            p = (middle[one[b]] + bloom_lm.ADD) / (n + bloom_lm.ADD * (v + 1))
+            linked = min(1.0, middle[two[a, b]] / max(middle[one[a]], 1)) if one[a] else 0.0
+            total += math.log10(bloom_lm.LAMBDA * linked + (1 - bloom_lm.LAMBDA) * p)
+        return total / (len(t) + 1)
+
+    def scores(**limits):
+        return {r["doc_id"]: r for r in bloom_lm.score_documents(docs, F.col("doc_id") < 6, **limits).collect()}
+
+    held, sent = scores(), scores(broadcast_bits=1 << 20, head_words=1000)
+    assert held.keys() == sent.keys() == set(range(60))
+    for i, t in enumerate(texts):
+        assert sent[i]["score"] == pytest.approx(held[i]["score"], abs=1e-6)
+        assert sent[i]["base_score"] == pytest.approx(held[i]["base_score"], abs=1e-6)
+        # A false positive lifts an absent bigram by at most five powers of ten here.
+        assert abs(held[i]["score"] / held[i]["n_tokens"] - exact(t.split(" "))) < (5 * bloom_lm.FALSE_POSITIVES if i < 6 else 0.01), i
+
+
+def test_language_model_by_segment_on_odd_rows(odd, empty):
+    by_segment = lambda df: sorted(map(repr, bloom_lm.score_documents(df, F.col("doc_id") == 5, broadcast_bits=0).collect()))
+    assert by_segment(odd) == sorted(map(repr, bloom_lm.score_documents(odd, F.col("doc_id") == 5).collect()))
+    assert by_segment(empty) == []
