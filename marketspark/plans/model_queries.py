@@ -2,8 +2,8 @@
 
 Where a model is trained the result depends on the learner's random draws, so
 those queries have no SQL twin; the data they are trained on and the arithmetic
-of their scores are checked by twins of their own.  Tree counts and iterations
-are set low here to keep a check run short; the defaults are the library's.
+of their scores are checked by twins of their own.  Trees, depths, rounds,
+iterations, restarts and cluster counts are the library's defaults.
 """
 
 from __future__ import annotations
@@ -237,7 +237,7 @@ def scaled_profiles(spark, sf):
 
 @query("m2_kmeans")
 def m2(spark, sf):
-    return cl.fit(scaled_profiles(spark, sf), 4, restarts=3).select("symbol", "cluster")
+    return cl.fit(scaled_profiles(spark, sf), 4).select("symbol", "cluster")
 
 
 @query("m3_hierarchical")
@@ -252,14 +252,14 @@ def m5(spark, sf):
 
 @query("m6_best_cluster_count")
 def m6(spark, sf):
-    rows = cl.optimal_k(scaled_profiles(spark, sf), 2, 6, restarts=1)
+    rows = cl.optimal_k(scaled_profiles(spark, sf))
     best = rows.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("b")).select("b").scalar()
     return rows.withColumn("best", F.col("k") == best)
 
 
 @query("m29_cluster_report")
 def m29(spark, sf):
-    rows = cl.pca_2d(cl.fit(scaled_profiles(spark, sf), 4, restarts=3))
+    rows = cl.pca_2d(cl.fit(scaled_profiles(spark, sf), 4))
     score = cl.silhouette(rows).select(F.round("silhouette", 4)).scalar()
     out = cl.with_cluster_names(rows, cl.summary(rows)).withColumn("silhouette", score)
     return out.select("symbol", "cluster", "cluster_name", "silhouette", F.round("PC1", 6).alias("PC1"), F.round("PC2", 6).alias("PC2"))
@@ -280,15 +280,15 @@ def _holdout_query(name, **settings):
     return run
 
 
-_holdout_query("m7_random_forest", kind="rf", trees=10, max_depth=6)
-_holdout_query("m8_gradient_boosting", kind="gb", trees=3, max_depth=4)
-_holdout_query("m9_boosted_trees", kind="xgb", trees=3, max_depth=4)
-_holdout_query("m13_perceptron", kind="mlp", profile="dl20", max_iter=10)
+_holdout_query("m7_random_forest", kind="rf")
+_holdout_query("m8_gradient_boosting", kind="gb")
+_holdout_query("m9_boosted_trees", kind="xgb")
+_holdout_query("m13_perceptron", kind="mlp", profile="dl20")
 
 
 @query("m10_train_and_validate")
 def m10(spark, sf):
-    s, rows = _direction(spark, sf, trees=5, max_depth=5)
+    s, rows = _direction(spark, sf)
     folds = ml.cross_validate(rows, s)
     _, predictions = ml.holdout(rows, s)
     held = ml.accuracy(predictions).withColumn("fold", F.lit(0))
@@ -297,7 +297,7 @@ def m10(spark, sf):
 
 @query("m11_score_latest")
 def m11(spark, sf):
-    s, rows = _direction(spark, sf, trees=5, max_depth=5)
+    s, rows = _direction(spark, sf)
     model, _ = ml.holdout(rows, s)
     return ml.score_latest(model, views.daily_bars(spark, sf), s)
 
@@ -306,7 +306,7 @@ def m11(spark, sf):
 SELECT count(*) AS n, count(*) AS equal, 5 AS forward_days FROM training
 WHERE rn > floor(CAST(n_rows AS DOUBLE) * CAST(0.8 AS DOUBLE))"""))
 def m12(spark, sf):
-    s, rows = _direction(spark, sf, trees=5, max_depth=5)
+    s, rows = _direction(spark, sf)
     model, predictions = ml.holdout(rows, s)
     path = shared_dir(spark, "model")
     ml.save(model, s, path, rows)
@@ -320,7 +320,7 @@ def m12(spark, sf):
 
 @query("t6_feature_importance")
 def t6(spark, sf):
-    s, rows = _direction(spark, sf, trees=10, max_depth=6)
+    s, rows = _direction(spark, sf)
     model, _ = ml.holdout(rows, s)
     return ml.importances(model, rows, ind.contract(s.profile))
 
@@ -330,7 +330,7 @@ def m14(spark, sf):
     rows = ind.feature_frame(views.daily_bars(spark, sf), "dl20", targets={"label": lab.direction()})
     windows = sequence_windows(rows, DL20, 20)
     train, test = ml.vector_split(windows, flat(), F.col("label") + 1)
-    scored = ml.fit_vectors(train, 400, (64, 32), 3, 5).transform(test)
+    scored = ml.fit_vectors(train, 400, ml.Settings.hidden, 3, ml.Settings.max_iter).transform(test)
     return ml.class_report(scored, [0.0, 1.0, 2.0])
 
 
@@ -340,24 +340,24 @@ def _dash_once(spark, sf):
 
 @query("m15_sequence_report")
 def m15(spark, sf):
-    return rep.sequence_report(_dash_once(spark, sf), max_iter=5)
+    return rep.sequence_report(_dash_once(spark, sf))
 
 
 @query("m18_transformer_report")
 def m18(spark, sf):
-    return rep.transformer_report(_dash_once(spark, sf), max_iter=5)
+    return rep.transformer_report(_dash_once(spark, sf))
 
 
 @query("m20_patch_report")
 def m20(spark, sf):
-    return rep.patch_report(_dash_once(spark, sf), max_iter=5)
+    return rep.patch_report(_dash_once(spark, sf))
 
 
 @query("m21_multihead_report")
 def m21(spark, sf):
-    return rep.multihead_report(_dash_once(spark, sf), max_iter=5)
+    return rep.multihead_report(_dash_once(spark, sf))
 
 
 @query("m24_backtest_report")
 def m24(spark, sf):
-    return rep.backtest_report(_dash_once(spark, sf), trees=10, max_iter=5)
+    return rep.backtest_report(_dash_once(spark, sf))
