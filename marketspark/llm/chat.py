@@ -55,7 +55,8 @@ def final_events(events: DataFrame) -> DataFrame:
         "reset": F.coalesce(F.max(F.when(sets, F.col("pos"))).over(message), F.lit(0)),
         "said_by": F.first("role", ignorenulls=True).over(message.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
     })
-    later = conv.orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+    # From the end, where the minimum runs along; a frame that ends unbounded is computed anew for every row.
+    later = conv.orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
     cut = F.coalesce(F.min(F.when(F.col("event") == "regenerate", F.col("start"))).over(later) < F.col("start"), F.lit(False))
     out = out.withColumn("cut", cut & (F.col("pos") == F.col("start")))
     out = out.withColumn("gone", F.max("cut").over(message))

@@ -364,6 +364,20 @@ def test_repeated_turns_are_turns(spark):
     assert chat.read_back(chat.render(chat.turn_events(df.where("conv_id > 9")))).count() == 0
 
 
+def test_final_events_keep_running_frames(spark):
+    """A frame from the next row to the end is computed anew for every row, so one long conversation would take the square of its events."""
+    n = 40000
+    kinds = F.when(F.col("id") % 1000 == 999, "regenerate").otherwise("message")
+    events = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("seq"), kinds.alias("event"), F.col("id").alias("message"),
+        F.lit("user").alias("role"), F.lit("x").alias("text"))
+    out = chat.final_events(events)
+    plan = out._jdf.queryExecution().executedPlan().toString().lower()
+    assert "rowframe, 1, unboundedfollowing" not in plan and "rowframe, unboundedpreceding$(), -1" in plan
+    # A regenerated message cuts what began after its own start, and here each starts with its own event.
+    assert out.count() == n
+
+
 # 7 -- top-k
 
 def test_top_k_over_shards(spark):
