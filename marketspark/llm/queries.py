@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, chat, factor_machine, kdtree, langid, line_dedup, mixing, outliers, packing, partenum, quality_sql, text
+from . import bloom_lm, chat, factor_machine, kdtree, langid, line_dedup, merkle, merkle_sql, mixing, outliers, packing, partenum, quality_sql, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,15 @@ r AS (SELECT u.line, coalesce(m.p, u.f) AS p, coalesce(m.e, 0) AS e FROM u LEFT
 SELECT o.doc_id, o.line_no, o.doc_id = r.p.d AND o.line_no = r.p.n AS kept, r.p.d AS first_doc, r.p.n AS first_line,
   CAST(r.e AS INTEGER) AS distance
 FROM o JOIN r ON o.line = r.line"""
+
+
+@register("op12_merkle_manifest")
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle.leaf(*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), lowered)
+    # A null id has no remainder, so its row is not tampered with.
+    hit = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 5 == 0
+    return merkle.audit(_table(spark, sf_dir, "documents"), F.when(hit, tampered))
+
+
+ORACLES["op12_merkle_manifest"] = merkle_sql.oracle()
