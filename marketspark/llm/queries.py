@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, chat, factor_machine, kdtree, langid, line_dedup, merkle, merkle_sql, mixing, outliers, packing, partenum, quality_sql, text
+from . import bloom_lm, chat, factor_machine, kdtree, langid, line_dedup, merkle, merkle_sql, mixing, outliers, packing, partenum, prefix_trie, prefix_trie_sql, quality_sql, text, vantage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,19 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_merkle_manifest"] = merkle_sql.oracle()
+
+
+@register("op13_prefix_trie")
+def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string").cast("binary")) % 6
+    turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.regrafted(turns, conv - conv % 100, head, 5))
+
+
+ORACLES["op13_prefix_trie"] = prefix_trie_sql.oracle()
+
+
+@register("op11_simhash_vantage")
+def simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.near_duplicates(_table(spark, sf_dir, "documents"))
