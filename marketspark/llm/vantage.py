@@ -28,7 +28,7 @@ from .components import components
 
 REACH = 4
 #: Fingerprints a shard on average; shards at most (above it they grow); sampled fingerprints a shard.
-SHARD_ROWS, MAX_SHARDS, SAMPLES = 8192, 1 << 16, 16
+SHARD_ROWS, MAX_SHARDS, SAMPLES = 32_768, 1 << 14, 64
 LEAF = 128
 #: Vantage points tried at a node; the one of widest spread is taken.
 TRIED = 8
