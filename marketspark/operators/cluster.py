@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, side_by_side
 from ..schemas import CLUSTER8
 from .stats import finite_or_zero
 
@@ -34,7 +34,10 @@ def standardise(profiles: DataFrame, columns: list[str] = CLUSTER8) -> DataFrame
 
 def kmeans(scaled: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42):
     """Best of several seeded k-means|| runs by within-cluster cost."""
-    fits = [KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster").fit(scaled) for i in range(restarts)]
+    def start(i: int):
+        return KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster").fit(scaled)
+
+    fits = side_by_side([lambda i=i: start(i) for i in range(restarts)])
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -51,15 +54,51 @@ def fit(scaled: DataFrame, k: int = 4, method: str = "kmeans", restarts: int = 1
     return model.transform(scaled)
 
 
-def silhouette_parts(points: DataFrame, block_rows: int = 2000) -> DataFrame:
-    """Silhouette of every point with Euclidean distance, exact at any size.
+def cluster_sums(points: DataFrame) -> DataFrame:
+    """One row (clusters): an array of (cluster, n, sums, squares), what squared distances to whole clusters need."""
+    width = len(points.select("scaled").head().scaled) if not points.isEmpty() else 0
+    v = vector_to_array("scaled")
+    sums = points.groupBy("cluster").agg(
+        F.count("*").alias("n"), F.array(*[F.sum(F.get(v, F.lit(i))) for i in range(width)]).alias("sums"),
+        F.sum(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)).alias("squares"))
+    return sums.agg(F.collect_list(F.struct("cluster", "n", "sums", "squares")).alias("clusters"))
+
+
+def silhouette_parts(points: DataFrame) -> DataFrame:
+    """(symbol, cluster, silhouette) of every point by squared Euclidean distance, in linear time.
+
+    The sum of squared distances from a point to a cluster follows from the cluster's size, sum and
+    sum of squares; these few rows reach every point as one value.  A point alone in its cluster has 0, and so has every point of a single cluster.
+    """
+    v = vector_to_array("scaled")
+    near = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)
+    rows = points.select("symbol", "cluster", v.alias("v"), near.alias("q"), cluster_sums(points).scalar().alias("clusters"))
+
+    def total(c: Column) -> Column:
+        inner = F.aggregate(F.zip_with("v", c["sums"], lambda x, s: x * s), F.lit(0.0), lambda acc, x: acc + x)
+        return F.greatest(c["n"] * F.col("q") - inner * 2 + c["squares"], F.lit(0.0))
+
+    own = F.get(F.transform(F.filter("clusters", lambda c: c["cluster"] == F.col("cluster")), lambda c: F.try_divide(total(c), c["n"] - 1)), F.lit(0))
+    other = F.array_min(F.transform(F.filter("clusters", lambda c: c["cluster"] != F.col("cluster")), lambda c: total(c) / c["n"]))
+    scored = rows.select("symbol", "cluster", own.alias("a"), other.alias("b"))
+    return scored.select("symbol", "cluster", F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)).alias("silhouette"))
+
+
+#: Points for which all distances may be computed.
+EUCLIDEAN_LIMIT = 50_000
+
+
+def euclidean_silhouette_parts(points: DataFrame, block_rows: int = 2000) -> DataFrame:
+    """Silhouette of every point with Euclidean distance; more than ``EUCLIDEAN_LIMIT`` points raise ValueError.
 
     Points are hashed into blocks of about ``block_rows``; every block meets
     every block once, as a pair of bounded matrices in one task.  What leaves a
     task is one distance sum per point and cluster, never a pair.  The work is
-    quadratic by definition; for a linear one use ``squared_silhouette``.
+    quadratic by definition; ``silhouette_parts`` is linear.
     """
     n = points.count()
+    if n > EUCLIDEAN_LIMIT:
+        raise ValueError(f"{n} points need {n} x {n} distances; the squared silhouette needs none")
     blocks = max(1, -(-n // block_rows))
     base = points.select("symbol", "cluster", vector_to_array("scaled").alias("v")).withColumn(
         "block", F.pmod(F.xxhash64("symbol"), F.lit(blocks)).cast("int"))
@@ -93,19 +132,12 @@ def silhouette_parts(points: DataFrame, block_rows: int = 2000) -> DataFrame:
     return folded.select("symbol", F.col("own").alias("cluster"), F.coalesce(score, F.lit(0.0)).alias("silhouette"))
 
 
-def silhouette(points: DataFrame, block_rows: int = 2000) -> DataFrame:
-    """Mean silhouette; 0 when there is a single cluster."""
-    return silhouette_parts(points, block_rows).agg(
+def silhouette(points: DataFrame) -> DataFrame:
+    """Mean squared-Euclidean silhouette; 0 when there is a single cluster."""
+    return silhouette_parts(points).agg(
         F.coalesce(F.avg("silhouette"), F.lit(0.0)).alias("silhouette"), F.countDistinct("cluster").alias("clusters"))
 
 
-def squared_silhouette(points: DataFrame) -> float:
-    """Linear-time silhouette over squared distances, for very many symbols."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-
-    return ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster").evaluate(points)
-
-
 def pca_2d(scaled: DataFrame) -> DataFrame:
     """First two principal coordinates; each axis points to where its largest
     loading is positive."""
@@ -121,25 +153,26 @@ def summary(assigned: DataFrame, digits: int = 4, columns: list[str] = CLUSTER8)
     return assigned.groupBy("cluster").agg(*[F.round(F.avg(c), digits).alias(c) for c in columns])
 
 
-# Cluster names in the order their rules are tried.
-NAMES = [
-    "성장형 안정주 📈", "모멘텀 강세주 🚀", "하락 위험주 ⚠️", "고변동성 투기주 🎲",
-    "저변동 방어주 🛡️", "과매수 구간 🔴", "과매도 반등 후보 🟢", "중립·관망 ➖",
+# Conditions on a cluster's means and names, in the order they are tried.
+RULES = [
+    ("ann_return > 0.15 AND ann_vol < 0.25", "성장형 안정주 📈"),
+    ("ann_return > 0.10 AND momentum_20 > 0.05", "모멘텀 강세주 🚀"),
+    ("ann_return < -0.05 AND max_dd < -0.20", "하락 위험주 ⚠️"),
+    ("ann_vol > 0.35", "고변동성 투기주 🎲"),
+    ("abs(ann_return) < 0.05 AND ann_vol < 0.20", "저변동 방어주 🛡️"),
+    ("rsi_mean > 65", "과매수 구간 🔴"),
+    ("rsi_mean < 40", "과매도 반등 후보 🟢"),
+    ("true", "중립·관망 ➖"),
 ]
 
 
 def cluster_name() -> Column:
     """Name of a summary row; the first rule that holds decides."""
-    ret, vol, fall = F.col("ann_return"), F.col("ann_vol"), F.col("max_dd")
-    rsi, momentum = F.col("rsi_mean"), F.col("momentum_20")
-    rules = [
-        (ret > 0.15) & (vol < 0.25), (ret > 0.10) & (momentum > 0.05), (ret < -0.05) & (fall < -0.20), vol > 0.35,
-        (F.abs(ret) < 0.05) & (vol < 0.20), rsi > 65, rsi < 40,
-    ]
-    out = F.when(rules[0], NAMES[0])
-    for rule, name in zip(rules[1:], NAMES[1:]):
-        out = out.when(rule, name)
-    return out.otherwise(NAMES[-1])
+    (condition, name), *rest = RULES
+    out = F.when(F.expr(condition), name)
+    for condition, name in rest:
+        out = out.when(F.expr(condition), name)
+    return out
 
 
 def named(summaries: DataFrame) -> DataFrame:
@@ -153,13 +186,14 @@ def with_cluster_names(assigned: DataFrame, summaries: DataFrame) -> DataFrame:
 
 
 def optimal_k(scaled: DataFrame, k_min: int = 2, k_max: int = 8, restarts: int = 10) -> DataFrame:
-    """Silhouette and inertia per k, and which k is best (the smallest on ties)."""
+    """k, silhouette and inertia of each k; no rows where there are too few symbols to compare two."""
     k_max = min(k_max, scaled.count())
-    rows = None
+    rows = scaled.sparkSession.createDataFrame([], "k int, silhouette double, inertia double")
+    if k_max <= k_min:
+        return rows
     for k in range(k_min, k_max + 1):
         model = kmeans(scaled, k, restarts)
-        row = silhouette(model.transform(scaled)).select(
+        rows = rows.unionByName(silhouette(model.transform(scaled)).select(
             F.lit(k).alias("k"), F.round("silhouette", 4).alias("silhouette"),
-            F.lit(round(model.summary.trainingCost, 2)).alias("inertia"))
-        rows = row if rows is None else rows.unionByName(row)
+            F.lit(round(model.summary.trainingCost, 2)).alias("inertia")))
     return rows

@@ -171,11 +171,12 @@ def feature_frame(
     targets: dict[str, Column] | None = None,
     rank: bool = False,
     keep: tuple[str, ...] = (),
+    labelled: bool = True,
 ) -> DataFrame:
     """Feature rows of one profile in contract order, incomplete rows dropped.
 
     ``targets`` are columns over the bars (forward labels and the like); a row
-    whose target is null is dropped too.  With ``rank`` the result also carries
+    whose target is null is dropped too, unless ``labelled`` is off.  With ``rank`` the result also carries
     ``rn`` (1-based position) and ``n_rows`` per symbol, counted over the rows
     that stay, for ordered splits and folds.  Both are computed before the
     smoothing step so that they cost no further exchange.
@@ -187,7 +188,7 @@ def feature_frame(
         *[F.col(src).alias(name) for name, src in native.items()],
         *[expr.alias(name) for name, expr in targets.items()],
     )
-    needed = [F.col(name).isNotNull() for name in [*native, *targets]]
+    needed = [F.col(name).isNotNull() for name in [*native, *(targets if labelled else ())]]
     complete = needed[0]
     for condition in needed[1:]:
         complete = complete & condition

@@ -1,6 +1,8 @@
 """Direction classifiers over the panel: one model for all symbols.
 
 Training data is materialised once to the shared folder and read by every fit.
+A fit uses at most ``Settings.fit_rows`` labelled rows, chosen by a hash of symbol and date;
+all rows are scored.  Folds are fitted side by side, as independent Spark jobs.
 """
 
 from __future__ import annotations
@@ -8,21 +10,17 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier,
-)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import argmax_index
 from ..functions.serving import probability_map
 from ..functions.text import signal_of
-from ..runtime import materialize
+from ..runtime import materialize, side_by_side
+from . import boosting, forest, perceptron
 from .indicators import contract, feature_frame, latest_features
 from .labels import direction, ordered_split, walk_forward
+from .stats import newest_rows
 
 CLASSES = [-1, 0, 1]
 
@@ -37,42 +35,39 @@ class Settings:
     max_iter: int = 300
     hidden: tuple[int, ...] = (128, 64, 32)
     profile: str = "ml20"
+    #: Labelled rows that a fit may use.
+    fit_rows: int = 40_000
 
 
-def estimator(s: Settings, width: int, classes: int = 3):
-    """Classifier over ``features`` and ``label`` (0-based)."""
-    if s.kind == "rf":
-        return RandomForestClassifier(
-            numTrees=s.trees or 300, maxDepth=s.max_depth or 15, minInstancesPerNode=3, featureSubsetStrategy="sqrt",
-            weightCol="weight", seed=42)
-    if s.kind in ("gb", "xgb"):
-        boosted = GBTClassifier(
-            maxIter=s.trees or (200 if s.kind == "gb" else 250), stepSize=0.05, maxDepth=s.max_depth or 4,
-            subsamplingRate=0.8 if s.kind == "gb" else 0.9, featureSubsetStrategy="all" if s.kind == "gb" else "0.9", seed=42)
-        return OneVsRest(classifier=boosted)
-    if s.kind == "mlp":
-        return MultilayerPerceptronClassifier(layers=[width, *s.hidden, classes], maxIter=s.max_iter, seed=42)
-    raise ValueError(f"unknown model kind {s.kind}")
-
-
-def learner(s: Settings, columns: list[str] | None, width: int, classes: int = 3) -> Pipeline:
-    """Assemble, scale (perceptrons only, fitted on the training rows) and learn."""
-    scale = s.kind == "mlp"
-    target = "unscaled" if scale else "features"
-    stages = [VectorAssembler(inputCols=columns, outputCol=target)] if columns else []
-    if scale:
-        stages.append(StandardScaler(inputCol=target, outputCol="features", withMean=True))
-    return Pipeline(stages=[*stages, estimator(s, width, classes)])
-
-
-def with_balance(train: DataFrame, classes: int = 3) -> DataFrame:
-    """Weight every row by n / (classes * rows of its class)."""
-    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}  # one row per class
-    total = sum(counts.values())
-    weight = F.lit(1.0)
-    for label, count in counts.items():
-        weight = F.when(F.col("label") == label, total / (len(counts) * count)).otherwise(weight)
-    return train.withColumn("weight", weight)
+def rounds_of(s: Settings) -> boosting.Boosting:
+    if s.kind == "gb":
+        return boosting.Boosting(rounds=s.trees or 200, depth=s.max_depth or 4, rows=0.8)
+    return boosting.Boosting(rounds=s.trees or 250, depth=s.max_depth or 4, rows=0.9, columns=0.9, newton=True, l2=1.0, least_curvature=1.0)
+
+
+@dataclass
+class Fitted:
+    """A learned model with the columns it reads; ``transform`` adds probability and prediction."""
+
+    learned: forest.Forest | boosting.BoostedModel | perceptron.Perceptron
+    columns: list[str]
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        if isinstance(self.learned, perceptron.Perceptron):
+            return self.learned.transform(rows, F.array(*[F.col(c).cast("double") for c in self.columns]))
+        return self.learned.transform(rows)
+
+    def importances(self) -> list[float]:
+        """One number a column; none for a perceptron."""
+        return [] if isinstance(self.learned, perceptron.Perceptron) else self.learned.importances()
+
+
+def bounded(rows: DataFrame, limit: int) -> DataFrame:
+    """About ``limit`` of ``rows`` by a hash of symbol and date, all if they are fewer, with that hash as ``key``."""
+    n = rows.count()
+    if n > limit:
+        rows = rows.where(F.pmod(F.xxhash64("symbol", "date", F.lit(5)), F.lit(1 << 30)) < int(limit / n * (1 << 30)))
+    return rows.withColumn("key", F.xxhash64("symbol", "date"))
 
 
 def training_rows(bars: DataFrame, s: Settings) -> DataFrame:
@@ -82,10 +77,19 @@ def training_rows(bars: DataFrame, s: Settings) -> DataFrame:
     return materialize(rows.withColumn("label", F.col("label").cast("double")), "training")
 
 
-def fit(train: DataFrame, s: Settings) -> PipelineModel:
+def fit(train: DataFrame, s: Settings) -> Fitted:
     columns = contract(s.profile)
-    data = with_balance(train) if s.kind == "rf" else train
-    return learner(s, columns, len(columns)).fit(data)
+    rows = bounded(train, s.fit_rows)
+    if s.kind == "rf":
+        learned = forest.fit(rows, columns, s.trees or 300, s.max_depth or 15)
+    elif s.kind in ("gb", "xgb"):
+        learned = boosting.fit(rows, columns, rounds_of(s))
+    elif s.kind == "mlp":
+        vectors = rows.withColumn("vector", F.array(*[F.col(c).cast("double") for c in columns]))
+        learned = perceptron.fit(vectors, perceptron.Network(hidden=s.hidden, rounds=s.max_iter))
+    else:
+        raise ValueError(f"unknown model kind {s.kind}")
+    return Fitted(learned, columns)
 
 
 def accuracy(predictions: DataFrame, *by: str) -> DataFrame:
@@ -127,86 +131,123 @@ def cv_summary(scores: DataFrame) -> DataFrame:
 
 
 def cross_validate(rows: DataFrame, s: Settings, folds: int = 5) -> DataFrame:
-    """Accuracy per walk-forward fold.
+    """fold, accuracy and n of every walk-forward fold with at least 5 rows to test.
 
     Each fold trains only on rows that end ``forward_days`` before its test
     block.  The loop submits whole Spark jobs; no rows come to the driver.
     """
     placed = walk_forward(rows, folds, s.forward_days)
-    scores = None
-    for fold in range(1, folds + 1):
+    sizes = {r["fold"]: r["count"] for r in placed.filter("role = 'test'").groupBy("fold").count().collect()}  # one row a fold
+
+    def run(fold: int) -> DataFrame:
         part = placed.filter(F.col("fold") == fold)
-        model = fit(part.filter("role = 'train'"), s)
-        score = accuracy(model.transform(part.filter("role = 'test'"))).withColumn("fold", F.lit(fold))
-        scores = score if scores is None else scores.unionByName(score)
-    return scores.filter("n >= 5")
+        scored = fit(part.filter("role = 'train'"), s).transform(part.filter("role = 'test'"))
+        return accuracy(scored).select(F.lit(fold).alias("fold"), "accuracy", "n")
 
+    tested = side_by_side([lambda f=f: run(f) for f in range(1, folds + 1) if sizes.get(f, 0) >= 5])
+    out = rows.sparkSession.createDataFrame([], "fold int, accuracy double, n long")
+    for score in tested:
+        out = out.unionByName(score)
+    return out
 
-def holdout(rows: DataFrame, s: Settings) -> tuple[PipelineModel, DataFrame]:
+
+def holdout(rows: DataFrame, s: Settings) -> tuple[Fitted, DataFrame]:
     """Model on the first 80% of every symbol and its predictions for the rest."""
     parts = ordered_split(rows)
     model = fit(parts.filter("split = 'train'"), s)
     return model, model.transform(parts.filter("split = 'test'"))
 
 
-def importances(model: PipelineModel, rows: DataFrame, columns: list[str], top: int = 10) -> DataFrame:
-    """Feature importances, largest first.
+def training_report(rows: DataFrame, s: Settings) -> DataFrame:
+    """(part, name, value, n): the whole result of a training run, one number a row.
+
+    ``fold`` has the accuracy of each fold, ``cv`` their mean and std (the held-out accuracy, if there is no fold), ``holdout`` the
+    accuracy on the last fifth of every symbol, ``class`` its precision, recall and f1 by class with the support as n,
+    ``importance`` the features.
+    """
+    folds, (model, predictions) = side_by_side([lambda: materialize(cross_validate(rows, s), "folds"), lambda: holdout(rows, s)])
+    held = materialize(predictions.select("label", "prediction"), "held-out")
+    score = materialize(accuracy(held), "accuracy")
+    none = F.lit(None).cast("long").alias("n")
+    cv = cv_summary(folds.select("accuracy") if not folds.isEmpty() else score.select("accuracy"))
+    report = class_report(held, [0.0, 1.0, 2.0])
+    name = (F.col("label") - 1).cast("int").cast("string")
+    cells = F.explode(F.array(*[F.struct(F.concat_ws(" ", name, F.lit(c)).alias("name"), F.col(c).alias("value")) for c in ("precision", "recall", "f1")]))
+    return (
+        folds.select(F.lit("fold").alias("part"), F.col("fold").cast("string").alias("name"), F.col("accuracy").alias("value"), "n")
+        .unionByName(cv.select(F.lit("cv").alias("part"), F.explode(F.create_map(F.lit("mean"), "cv_mean", F.lit("std"), "cv_std")).alias("name", "value"), none))
+        .unionByName(score.select(F.lit("holdout").alias("part"), F.lit("accuracy").alias("name"), F.col("accuracy").alias("value"), "n"))
+        .unionByName(report.select(cells.alias("c"), "support").select(F.lit("class").alias("part"), "c.*", F.col("support").alias("n")))
+        .unionByName(importances(model, rows, len(model.columns)).select(F.lit("importance").alias("part"), F.col("feature").alias("name"), F.col("importance").alias("value"), none))
+    )
+
+
+def importances(model: Fitted, rows: DataFrame, top: int = 10) -> DataFrame:
+    """Feature importances, largest first; no rows for a perceptron.
 
     The fitted model holds one number per feature; ``rows`` only lends its
     session so that the result is a DataFrame like all others.
     """
-    last = model.stages[-1]
-    members = getattr(last, "models", [last])
-    values = [sum(float(m.featureImportances[i]) for m in members) / len(members) for i in range(len(columns))]
-    table = rows.sparkSession.createDataFrame(list(zip(columns, values)), "feature string, importance double")
+    table = rows.sparkSession.createDataFrame(list(zip(model.columns, model.importances())), "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(top)
 
 
-def class_probabilities(predictions: DataFrame) -> Column:
-    """Probability array per class; one-versus-rest margins are squashed and
-    normalised."""
-    if "probability" in predictions.columns:
-        return vector_to_array("probability")
-    squashed = F.transform(vector_to_array("rawPrediction"), lambda m: F.lit(1.0) / (F.exp(m * -2) + 1))
-    total = F.aggregate(squashed, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(squashed, lambda p: p / total)
-
-
-def score_latest(model: PipelineModel, bars: DataFrame, s: Settings) -> DataFrame:
+def score_latest(model: Fitted, bars: DataFrame, s: Settings) -> DataFrame:
     """Signal and class probabilities of the newest row of every symbol."""
     scored = model.transform(latest_features(bars, s.profile))
-    p = class_probabilities(scored)
+    p = F.col("probability")
     return scored.select(
         "symbol", "date", signal_of(argmax_index(p) - 1).alias("signal"), probability_map(p, CLASSES).alias("probabilities"))
 
 
-def save(model: PipelineModel, s: Settings, path: str, rows: DataFrame) -> None:
+def score_newest_windows(model: perceptron.Perceptron, rows: DataFrame, columns: list[str], length: int) -> DataFrame:
+    """symbol, date, signal and class probabilities ``p`` of every symbol's newest window, its newest row included.
+
+    A symbol with fewer than ``length`` rows is held, with certainty.
+    """
+    newest = newest_rows(rows.select("symbol", "date", *columns), length)
+    cells = F.transform(F.array_sort(F.collect_list(F.struct("date", F.array(*[F.col(c).cast("double") for c in columns]).alias("x")))), lambda r: r["x"])
+    windows = newest.groupBy("symbol").agg(F.max("date").alias("date"), F.flatten(cells).alias("vector"), F.count("*").alias("n"))
+    full = model.transform(windows.filter(F.col("n") == length)).select("symbol", "date", signal_of(argmax_index(F.col("probability")) - 1).alias("signal"), F.col("probability").alias("p"))
+    short = windows.filter(F.col("n") < length).select("symbol", "date", signal_of(F.lit(0)).alias("signal"), F.array(F.lit(0.0), F.lit(1.0), F.lit(0.0)).alias("p"))
+    return full.unionByName(short)
+
+
+def save(model: Fitted, s: Settings, path: str, rows: DataFrame) -> None:
     """Model and its settings side by side."""
-    model.write().overwrite().save(f"{path}/model")
+    if isinstance(model.learned, forest.Forest):
+        model.learned.save(f"{path}/model", rows)
+    else:
+        rows.sparkSession.createDataFrame([(model.learned.to_json(),)], "value string").write.mode("overwrite").text(f"{path}/model")
     rows.sparkSession.createDataFrame([(json.dumps(asdict(s)),)], "value string").write.mode("overwrite").text(f"{path}/settings")
 
 
-def load(spark, path: str) -> tuple[PipelineModel, Settings]:
+def load(spark, path: str) -> tuple[Fitted, Settings]:
     config = json.loads(spark.read.text(f"{path}/settings").first()["value"])
     config["hidden"] = tuple(config["hidden"])
-    return PipelineModel.load(f"{path}/model"), Settings(**config)
+    s = Settings(**config)
+    if s.kind == "rf":
+        learned = forest.Forest.load(spark, f"{path}/model")
+    else:
+        text = spark.read.text(f"{path}/model").first()["value"]
+        learned = perceptron.Perceptron.from_json(text) if s.kind == "mlp" else boosting.BoostedModel.from_json(text)
+    return Fitted(learned, contract(s.profile)), s
 
 
 def vector_split(rows: DataFrame, vector: Column, label: Column) -> tuple[DataFrame, DataFrame]:
-    """(symbol, date, unscaled, label) rows in the ordered 80/20 split; the input
+    """(symbol, date, vector, label) rows in the ordered 80/20 split; the input
     is written once and feeds both sides."""
     from ..functions.rolling import by_symbol, whole
 
     ready = rows.select(
-        "symbol", "date", array_to_vector(vector).alias("unscaled"), label.cast("double").alias("label"),
+        "symbol", "date", vector.alias("vector"), label.cast("double").alias("label"),
         F.row_number().over(by_symbol()).alias("rn"), F.count("*").over(whole()).alias("n_rows"))
     parts = ordered_split(materialize(ready, "windows"))
     return parts.filter("split = 'train'"), parts.filter("split = 'test'")
 
 
-def fit_vectors(train: DataFrame, width: int, hidden: tuple[int, ...], classes: int, max_iter: int) -> PipelineModel:
-    s = Settings(kind="mlp", hidden=hidden, max_iter=max_iter)
-    return learner(s, None, width, classes).fit(train)
+def fit_vectors(train: DataFrame, network: perceptron.Network, limit: int = Settings.fit_rows) -> perceptron.Perceptron:
+    return perceptron.fit(bounded(train, limit), network)
 
 
 def best_parameter(scores: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.rolling import by_symbol
 from ..operators import documents as doc
 from ..runtime import shared_dir
 from ..schemas import ML20
@@ -219,9 +220,11 @@ _EXPORTED = f"""exported AS (SELECT symbol, "date", {', '.join(f'{s} AS "{n}"' f
 
 def _exported(spark, sf):
     path = shared_dir(spark, "training-csv")
-    writers.export_training_csv(training_set(spark, sf), path)
-    schema = "date date, " + ", ".join(f"{c} double" for c in ML20) + ", Signal string, split string, symbol string"
-    return writers.read_training_csv(spark, path, schema)
+    rows = training_set(spark, sf)
+    writers.export_training_csv(rows, path)
+    kinds = {"symbol": "string", "date": "date", "Signal": "string"}
+    names = [c for c in rows.columns if c != "split"]
+    return writers.read_training_csv(spark, path, ", ".join(f"{c} {kinds.get(c, 'double')}" for c in names) + ", split string")
 
 
 @query("k7_training_csv_export", with_ctes(*TRAINING, _EXPORTED, body="""
@@ -248,8 +251,20 @@ def u3(spark, sf):
 
 
 @query("u4_row_maximum", with_ctes(BARS, body="""
-SELECT symbol, "date", greatest(high - low, abs(high - open), abs(low - open)) AS widest FROM bars"""))
+SELECT symbol, "date", greatest(high - low, abs(high - prev), abs(low - prev)) AS widest
+FROM (SELECT *, lag("close") OVER (PARTITION BY symbol ORDER BY "date") AS prev FROM bars)"""))
 def u4(spark, sf):
-    bars = views.daily_bars(spark, sf)
-    return bars.select("symbol", "date", F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("open")), F.abs(F.col("low") - F.col("open"))).alias("widest"))
+    """True range: the widest of the day's span and its distances from the previous close; a symbol's first day has its span alone."""
+    prev = F.lag("close").over(by_symbol())
+    return views.daily_bars(spark, sf).select("symbol", "date", F.greatest(
+        F.col("high") - F.col("low"), F.abs(F.col("high") - prev), F.abs(F.col("low") - prev)).alias("widest"))
+
+
+@query("k3_bars_by_market", with_ctes(BARS, SYMBOLS, body="""
+SELECT s.market, b.symbol, "date", open, high, low, "close", volume FROM bars b JOIN symbols s ON b.symbol = s.symbol"""))
+def k3_bars(spark, sf):
+    """Bars landed in a table by market, and read back."""
+    path = shared_dir(spark, "bars-by-market")
+    listed = views.symbols(spark, sf).select("symbol", "market")
+    writers.append_partitioned(views.daily_bars(spark, sf).join(listed, "symbol"), path, ["market"])
+    return spark.read.parquet(path).select("market", "symbol", "date", "open", "high", "low", "close", "volume")

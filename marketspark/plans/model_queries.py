@@ -18,6 +18,7 @@ from ..operators import indicators as ind
 from ..operators import labels as lab
 from ..operators import models as ml
 from ..operators import stats as st
+from ..operators.perceptron import Network
 from ..operators.sequences import flat, last_returns, sequence_windows
 from ..runtime import materialize, shared_dir
 from ..schemas import CLUSTER8, DL20, SEQ4
@@ -228,7 +229,20 @@ SELECT symbol, round(coalesce((b - a) / greatest(a, b), 0), 6) + 0 AS silhouette
 def m4(spark, sf):
     region = views.table(spark, sf, "region").select(F.col("r_name").alias("cluster"), F.col("r_regionkey").alias("id"))
     points = assigned(spark, sf).join(region, "cluster").drop("cluster").withColumnRenamed("id", "cluster")
-    return cl.silhouette_parts(cl.standardise(points), block_rows=40).select("symbol", F.round("silhouette", 6).alias("silhouette"))
+    return cl.euclidean_silhouette_parts(cl.standardise(points), block_rows=40).select("symbol", F.round("silhouette", 6).alias("silhouette"))
+
+
+_SQUARED = " + ".join(f"power(x.{c} - y.{c}, 2)" for c in CLUSTER8)
+
+
+@query("m4_squared_silhouette", with_ctes(SYMBOLS, *_PROFILE, _SCALED, f"""points AS (SELECT s.*, market AS cluster FROM scaled s JOIN symbols USING (symbol)),
+gaps AS (SELECT x.symbol, x.cluster AS own, y.cluster AS other, sum({_SQUARED}) AS total, count(*) AS n FROM points x JOIN points y ON true GROUP BY 1, 2, 3),
+parts AS (SELECT symbol, own, max(CASE WHEN own = other THEN total / nullif(n - 1, 0) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b
+  FROM gaps GROUP BY 1, 2)""", body="""
+SELECT symbol, round(coalesce((b - a) / greatest(a, b), 0), 6) + 0 AS silhouette FROM parts"""))
+def m4_squared(spark, sf):
+    points = assigned(spark, sf)
+    return cl.silhouette_parts(cl.standardise(points)).select("symbol", F.round("silhouette", 6).alias("silhouette"))
 
 
 def scaled_profiles(spark, sf):
@@ -289,10 +303,7 @@ _holdout_query("m13_perceptron", kind="mlp", profile="dl20")
 @query("m10_train_and_validate")
 def m10(spark, sf):
     s, rows = _direction(spark, sf)
-    folds = ml.cross_validate(rows, s)
-    _, predictions = ml.holdout(rows, s)
-    held = ml.accuracy(predictions).withColumn("fold", F.lit(0))
-    return folds.unionByName(held).select("fold", F.round("accuracy", 4).alias("accuracy"), "n")
+    return ml.training_report(rows, s).withColumn("value", F.round("value", 6))
 
 
 @query("m11_score_latest")
@@ -322,16 +333,22 @@ def m12(spark, sf):
 def t6(spark, sf):
     s, rows = _direction(spark, sf)
     model, _ = ml.holdout(rows, s)
-    return ml.importances(model, rows, ind.contract(s.profile))
+    return ml.importances(model, rows)
 
 
 @query("m14_window_classifier")
 def m14(spark, sf):
-    rows = ind.feature_frame(views.daily_bars(spark, sf), "dl20", targets={"label": lab.direction()})
-    windows = sequence_windows(rows, DL20, 20)
+    """Held-out report of the window model, and what it says of each symbol's newest window."""
+    rows = materialize(ind.feature_frame(views.daily_bars(spark, sf), "dl20", targets={"label": lab.direction()}, labelled=False), "window-rows")
+    windows = sequence_windows(rows.filter("label is not null"), DL20, 20)
     train, test = ml.vector_split(windows, flat(), F.col("label") + 1)
-    scored = ml.fit_vectors(train, 400, ml.Settings.hidden, 3, ml.Settings.max_iter).transform(test)
-    return ml.class_report(scored, [0.0, 1.0, 2.0])
+    model = ml.fit_vectors(train, Network(ml.Settings.hidden, 3, rounds=ml.Settings.max_iter))
+    report = ml.class_report(model.transform(test), [0.0, 1.0, 2.0])
+    newest = ml.score_newest_windows(model, rows, DL20, 20)
+    cells = F.explode(F.array(*[F.struct(F.concat_ws(" ", (F.col("label") - 1).cast("int").cast("string"), F.lit(c)).alias("name"), F.col(c).alias("value")) for c in ("precision", "recall", "f1")]))
+    return report.select(cells.alias("c"), "support").select(
+        F.lit("class").alias("part"), "c.name", F.lit(None).cast("string").alias("signal"), "c.value", F.col("support").alias("n")).unionByName(newest.select(
+            F.lit("newest").alias("part"), F.col("symbol").alias("name"), "signal", F.array_max("p").alias("value"), F.lit(None).cast("bigint").alias("n")))
 
 
 def _dash_once(spark, sf):

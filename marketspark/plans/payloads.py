@@ -127,6 +127,24 @@ def tick_messages(spark, sf) -> DataFrame:
         F.floor(key / 6).alias("offset"))
 
 
+def damaged_messages(spark, sf) -> DataFrame:
+    """Keyed tick messages with event time and place, of which some are cut short, have an unknown field, a text for a price, no symbol or no time."""
+    key = F.col("event_id")
+    event = views.ticks(spark, sf).select(
+        key, "event_time", F.col("symbol").alias("key"), F.when(key % 50 != 10, F.col("symbol")).alias("symbol"), "name", "market",
+        F.when(key % 50 == 9, "abc").otherwise(F.col("price").cast("string")).alias("price"), "volume", "change_pct",
+        F.when(key % 50 == 11, "garbage").otherwise(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")).alias("timestamp"))
+    body = F.to_json(F.struct("symbol", "name", "market", "price", "volume", "change_pct", "timestamp"), {"ignoreNullFields": "false"})
+    # Prices are numbers in the messages; only the text stays quoted.
+    body = F.regexp_replace(body, '"price":"([0-9.E]+)"', '"price":$1')
+    value = (
+        F.when(key % 50 == 7, F.expr("substring(body, 1, length(body) - 3)"))
+        .when(key % 50 == 8, F.replace(F.col("body"), F.lit('"market":"SIM",'), F.lit('"market":"SIM","extra":1,')))
+        .otherwise(F.col("body")))
+    return event.withColumn("body", body).select(
+        "event_time", "key", value.alias("value"), (key % 6).cast("int").alias("partition"), F.floor(key / 6).alias("offset"))
+
+
 def field_messages(spark, sf) -> DataFrame:
     """Listing rows as JSON of either source, a few cut short or of unknown origin."""
     rows = listing(spark, sf)

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.rolling import change
 from ..operators import backtest as bt
+from ..operators import correlation as cor
 from ..operators import indicators as ind
 from ..operators import stats as st
+from ..runtime import materialize
 from ..sources import views
 from .bar_sql import DASH_ROWS, EWM1, LAYER1, NATIVE, W, change as sql_change
 from .registry import BARS, SYMBOLS, query, with_ctes
@@ -160,6 +162,52 @@ def a20(spark, sf):
     return st.most_correlated(matrix(spark, sf)).select("a", "b", F.round("corr", 8).alias("corr"))
 
 
+_TICKERS = """top AS (SELECT symbol FROM bars GROUP BY symbol ORDER BY sum("close" * volume) DESC, symbol LIMIT 100),
+monthly AS (SELECT symbol, CAST(date_trunc('month', "date") AS DATE) AS "date", arg_max("close", "date") AS "close" FROM bars GROUP BY 1, 2),
+month_ret AS (SELECT symbol, "date", "close" / lag("close") OVER (PARTITION BY symbol ORDER BY "date") - 1 AS ret FROM monthly WHERE symbol IN (SELECT symbol FROM top)),
+month_all AS (SELECT "date" FROM month_ret WHERE ret IS NOT NULL GROUP BY 1 HAVING count(*) = (SELECT count(*) FROM top)),
+together AS (SELECT m.* FROM month_ret m JOIN month_all USING ("date")),
+ticker_matrix AS (SELECT x.symbol AS a, y.symbol AS b, CASE WHEN x.symbol = y.symbol THEN 1 ELSE corr(x.ret, y.ret) END AS corr,
+    count(*) AS n_dates FROM together x JOIN together y ON x."date" = y."date" GROUP BY 1, 2)"""
+_TICKER_MATRIX = (BARS, _TICKERS)
+
+
+def ticker_returns(spark, sf):
+    """Monthly returns of the hundred most traded symbols, in the months in which all have one."""
+    bars = views.daily_bars(spark, sf)
+    month = F.trunc("date", "month").alias("date")
+    monthly = bars.groupBy("symbol", month).agg(F.max_by("close", F.datediff("date", F.lit("1970-01-01"))).alias("close"))
+    return cor.aligned(monthly.withColumn("ret", change(F.col("close"))), cor.most_traded(bars))
+
+
+def ticker_matrix(spark, sf):
+    return cor.correlation_matrix(materialize(ticker_returns(spark, sf), "ticker-returns"))
+
+
+@query("j1_ticker_returns", with_ctes(*_TICKER_MATRIX, body="""
+SELECT "date", symbol, round(ret, 8) + 0 AS ret FROM together"""))
+def j1_tickers(spark, sf):
+    return ticker_returns(spark, sf).select("date", "symbol", F.round("ret", 8).alias("ret"))
+
+
+@query("j2_ticker_pairs", with_ctes(*_TICKER_MATRIX, body="""
+SELECT a, b, round(corr, 8) + 0 AS corr, n_dates FROM ticker_matrix WHERE a < b"""))
+def j2_tickers(spark, sf):
+    return st.pair_correlations(ticker_matrix(spark, sf)).withColumn("corr", F.round("corr", 8))
+
+
+@query("a19_ticker_correlations", with_ctes(*_TICKER_MATRIX, body="""
+SELECT a, b, round(corr, 4) + 0 AS corr FROM ticker_matrix"""))
+def a19_tickers(spark, sf):
+    return ticker_matrix(spark, sf).select("a", "b", F.round("corr", 4).alias("corr"))
+
+
+@query("a20_ticker_pair", with_ctes(*_TICKER_MATRIX, body="""
+SELECT a, b, round(corr, 8) + 0 AS corr, n_dates FROM ticker_matrix WHERE a < b ORDER BY ticker_matrix.corr DESC, a, b LIMIT 1"""))
+def a20_tickers(spark, sf):
+    return st.most_correlated(ticker_matrix(spark, sf)).withColumn("corr", F.round("corr", 8))
+
+
 _LAST = f"""lasts AS (SELECT symbol, "date", "close", volume,
   max("close") OVER y AS hi, min("close") OVER y AS lo,
   coalesce(lag("close") OVER ({W}), "close") AS prev,
@@ -261,12 +309,13 @@ def j4(spark, sf):
   SELECT market, string_agg(symbol, '|' ORDER BY symbol) AS sample FROM (
     SELECT *, row_number() OVER (PARTITION BY market ORDER BY symbol) AS r FROM symbols) WHERE r <= 10 GROUP BY market)""", body="""
 SELECT b.symbol, name, s.market, count(*) AS ohlcv_rows, max("date") AS latest_date,
-       arg_max("close", "date") AS latest_close, any_value(sample) AS sample
+       arg_max(open, "date") AS latest_open, arg_max(high, "date") AS latest_high, arg_max(low, "date") AS latest_low,
+       arg_max("close", "date") AS latest_close, arg_max(volume, "date") AS latest_volume, any_value(sample) AS sample
 FROM bars b JOIN symbols s ON b.symbol = s.symbol JOIN heads h ON s.market = h.market GROUP BY 1, 2, 3"""))
 def m26(spark, sf):
     rows = st.crawl_summary(views.daily_bars(spark, sf), views.symbols(spark, sf))
-    return rows.select("symbol", "name", "market", "ohlcv_rows", F.col("latest.date").alias("latest_date"),
-                       F.col("latest.close").alias("latest_close"), F.concat_ws("|", "sample").alias("sample"))
+    return rows.select("symbol", "name", "market", "ohlcv_rows", *[F.col(f"latest.{c}").alias(f"latest_{c}") for c in ("date", "open", "high", "low", "close", "volume")],
+                       F.concat_ws("|", "sample").alias("sample"))
 
 
 @query("t1_sorted_bars", with_ctes(BARS, body="""
@@ -312,6 +361,28 @@ def m22(spark, sf):
         F.round(tail, 4).alias("tail_ma20_sum"))
 
 
+_LAGS = ", ".join(f"lag(ret, {k}) OVER ({W}) AS r{k}" for k in range(1, 11))
+_PARTS = " UNION ALL ".join([
+    *[f"SELECT symbol, 'summary' AS part, '{n}' AS name, CAST({x} AS DOUBLE) AS value FROM lags GROUP BY symbol" for n, x in (
+        ("n", "count(ret)"), ("mean_ret", "avg(ret)"), ("ann_vol", "stddev_samp(ret) * sqrt(252)"), ("up_ratio", "avg(CAST(ret > 0 AS INTEGER))"), ("band", "2 / sqrt(count(ret))"))],
+    *[f"SELECT symbol, 'acf', '{k}', corr(ret, r{k}) FROM lags GROUP BY symbol" for k in range(1, 11)],
+    *[f"""SELECT symbol, 'weekday', '{i}', coalesce(avg(CASE WHEN isodow("date") = {i + 1} THEN ret END), 0) FROM lags GROUP BY symbol""" for i in range(5)],
+    *[f"""SELECT symbol, 'month', '{i}', coalesce(avg(CASE WHEN month("date") = {i} THEN ret END), 0) FROM lags GROUP BY symbol""" for i in range(1, 13)],
+    *[f"""SELECT symbol, '{c}', strftime("date", '%Y-%m-%d'), "{c}" FROM tailed WHERE age <= 120""" for c in ("close", "ma20", "ma60")],
+    """SELECT symbol, 'month close', strftime(m, '%Y-%m'), c FROM (SELECT symbol, date_trunc('month', "date") AS m, avg("close") AS c,
+         row_number() OVER (PARTITION BY symbol ORDER BY date_trunc('month', "date") DESC) AS r FROM dash GROUP BY 1, 2) WHERE r <= 24"""])
+
+
+@query("m22_timeseries_details", with_ctes(*_DASH, f"""lags AS (SELECT symbol, "date", ret, {_LAGS} FROM dash),
+tailed AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "date" DESC) AS age FROM dash)""", body=f"""
+SELECT symbol, part, name, round(value, 7) + 0 AS value FROM ({_PARTS})"""))
+def m22_details(spark, sf):
+    """Every number of the report as a row: summary, ten lags, weekdays, months, the chart and the newest months' closes."""
+    from .reports import timeseries_details
+
+    return timeseries_details(dash(spark, sf)).withColumn("value", F.round("value", 7))
+
+
 _CURVE = f"""signals AS (SELECT symbol, "date", ret, stoch_k / 100 AS p FROM l3 WHERE ret IS NOT NULL AND stoch_k IS NOT NULL),
 daily AS (SELECT *, CASE WHEN p >= 0.55 THEN ret ELSE 0 END AS d, p >= 0.55 AS held FROM signals),
 logs AS (SELECT *, sum(ln(1 + d)) OVER ({W} ROWS UNBOUNDED PRECEDING) AS le,

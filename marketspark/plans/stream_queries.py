@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..operators import ticks as op
 from ..runtime import shared_dir
 from ..sources import views, writers
-from ..schemas import FILTERED, WINDOW_BAR
+from ..schemas import ALERT, FILTERED, WINDOW_BAR
 from ..schemas import MACRO as MACRO_SCHEMA
 from ..streaming import jobs, sinks, sources, state
+from . import payloads
 from .registry import MACRO, TICKS, query, with_ctes
 from .tick_queries import _ALERTS, _RUN, _naive
 
@@ -272,7 +273,7 @@ def _counts(spark, outputs):
 
 @query("k12_fan_out", with_ctes(TICKS, _RUN, _ALERTS, body=f"""
 SELECT 'stock.filtered.significant' AS output, symbol AS key, count(*) AS n, round(sum(price), 2) AS total FROM ticks WHERE abs(change_pct) >= 2 GROUP BY 2
-UNION ALL SELECT 'alerts', symbol, count(*), round(sum(current_value), 2) FROM alerts GROUP BY 2
+UNION ALL SELECT 'stock.alerts.high-volume', symbol, count(*), round(sum(current_value), 2) FROM alerts GROUP BY 2
 UNION ALL SELECT 'stock.aggregated.ohlcv', symbol, count(*), round(sum(high - low), 2) FROM ({_minute_sql()}) GROUP BY 2"""))
 def k12(spark, sf):
     out = shared_dir(spark, "k12")
@@ -282,8 +283,7 @@ def k12(spark, sf):
         rows = spark.read.parquet(path).select("topic", "key", F.from_json("value", schema).alias("m"))
         return rows.groupBy(F.col("topic").alias("output"), "key").agg(F.count("*").alias("n"), F.round(F.sum(value), 2).alias("total"))
 
-    alerts = spark.read.parquet(f"{out}/volume/alerts").groupBy(F.lit("alerts").alias("output"), F.col("symbol").alias("key")).agg(
-        F.count("*").alias("n"), F.round(F.sum("current_value"), 2).alias("total"))
+    alerts = messages(f"{out}/volume/messages", ALERT, F.col("m.current_value"))
     filtered = messages(f"{out}/filtered", FILTERED, F.col("m.price"))
     return filtered.unionByName(alerts).unionByName(messages(f"{out}/bars", WINDOW_BAR, F.col("m.high") - F.col("m.low")))
 
@@ -324,3 +324,19 @@ def k3_stream(spark, sf):
     topic = sources.file_stream(spark, f"{out}/topic", sources.MESSAGE_SCHEMA)
     _done(sinks.to_bronze(topic, MACRO_SCHEMA, f"{out}/table", f"{out}/cp", ("stat_code",)))
     return spark.read.parquet(f"{out}/table").select("stat_code", "cycle", "time", "value")
+
+
+@query("g12_dead_letter_stream", with_ctes(TICKS, body="""
+SELECT coalesce(CASE event_id % 50 WHEN 7 THEN 'malformed' WHEN 8 THEN 'unknown field' WHEN 9 THEN 'wrong type' WHEN 10 THEN 'no key' WHEN 11 THEN 'no time' END, 'good') AS verdict,
+       symbol AS key, count(*) AS n, count(DISTINCT event_id) AS messages FROM ticks GROUP BY 1, 2"""))
+def g12_stream(spark, sf):
+    """Two runs over a topic with five kinds of bad messages: what is decoded and what is kept aside are all of it, once."""
+    out = shared_dir(spark, "g12s")
+    schema = "key string, value string, partition int, offset bigint"
+    for half in ("event_time < '2024-01-16'", "event_time >= '2024-01-16'"):
+        payloads.damaged_messages(spark, sf).filter(half).drop("event_time").write.mode("append").parquet(f"{out}/topic")
+        judged = sources.judged_ticks(sources.file_stream(spark, f"{out}/topic", schema))
+        _done(sinks.to_good_and_bad(judged, sources.good_ticks, sources.bad_messages, f"{out}/ticks", f"{out}/dead", f"{out}/cp", once=True))
+    good = spark.read.parquet(f"{out}/ticks").select(F.lit("good").alias("verdict"), F.col("symbol").alias("key"), "partition", "offset")
+    dead = spark.read.parquet(f"{out}/dead").select(F.col("error").alias("verdict"), "key", "partition", "offset")
+    return good.unionByName(dead).groupBy("verdict", "key").agg(F.count("*").alias("n"), F.countDistinct("partition", "offset").alias("messages"))

@@ -96,6 +96,15 @@ def a2(spark, sf):
         {"avg_volume": F.round("avg_volume", 4), "z_score": F.round("z_score", 6)})
 
 
+@query("a2_ten_minute_anomaly", with_ctes(TICKS, _ANOMALY.replace("6 hours", "10 minutes"), body="""
+SELECT window_start, symbol, round(avg_volume, 4) AS avg_volume, max_volume,
+       round(z_score, 6) AS z_score, sample_count FROM scored WHERE z_score > 0.7"""))
+def a2_ten_minutes(spark, sf):
+    """The operator's own window; sparse ticks need a lower bound than 2 to show any."""
+    found = op.volume_anomalies(views.ticks(spark, sf), z=0.7)
+    return _naive(found, "window_start").withColumns({"avg_volume": F.round("avg_volume", 4), "z_score": F.round("z_score", 6)})
+
+
 def _tumbling(interval):
     return with_ctes(TICKS, body=f"""
 SELECT time_bucket(INTERVAL '{interval}', event_time) AS window_start,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import trades as tr
 from ..runtime import shared_dir
-from ..sources import views
+from ..sources import views, writers
 from .bar_sql import EWM1, LAYER1, W
 from .registry import BARS, SYMBOLS, TRADES, query, with_ctes
 
@@ -98,13 +98,14 @@ def c8_positions(spark, sf):
 
 
 @query("c9_watchlist_scan", with_ctes(BARS, SYMBOLS, LAYER1, _CROSS, body="""
-SELECT symbol, "date", signal, CASE signal WHEN 'BUY' THEN 'fast average crossed above slow'
+SELECT symbol, "date", "close", round(ma5, 4) AS ma_fast, round(ma20, 4) AS ma_slow, signal, CASE signal WHEN 'BUY' THEN 'fast average crossed above slow'
        WHEN 'SELL' THEN 'fast average crossed below slow' ELSE 'no cross' END AS reason
 FROM crosses WHERE symbol IN (SELECT symbol FROM symbols WHERE market = 'ASIA')
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "date" DESC) = 1"""))
 def c9(spark, sf):
     watchlist = views.symbols(spark, sf).filter("market = 'ASIA'")
-    return tr.watchlist_scan(views.daily_bars(spark, sf), watchlist).select("symbol", "date", "signal", "reason")
+    return tr.watchlist_scan(views.daily_bars(spark, sf), watchlist).select(
+        "symbol", "date", "close", F.round("ma_fast", 4).alias("ma_fast"), F.round("ma_slow", 4).alias("ma_slow"), "signal", "reason")
 
 
 @query("c10_resampled_bars", with_ctes(BARS, """recent AS (SELECT * FROM bars WHERE "date" >= (SELECT max("date") FROM bars) - 365)""", body="""
@@ -120,9 +121,8 @@ def c10(spark, sf):
 SELECT event_type AS type, count(*) AS n FROM events GROUP BY 1""")
 def c11(spark, sf):
     path = shared_dir(spark, "system-events")
-    rows = views.table(spark, sf, "events").select(
-        F.col("event_type").alias("type"), F.lit("logged").alias("message"), F.col("props").alias("detail"), F.current_timestamp().alias("at"))
-    rows.write.mode("append").parquet(path)
+    events = views.table(spark, sf, "events")
+    writers.log_events(events, path, type=F.col("event_type"), message=F.lit("logged"), detail=F.col("props"))
     return spark.read.parquet(path).groupBy("type").agg(F.count("*").alias("n"))
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
+#: Independent fits that run side by side.
+SIDE_BY_SIDE = 4
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -37,3 +41,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(tasks: list[Callable]) -> list:
+    """Results of independent functions that submit Spark jobs, a few at a time."""
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return list(pool.map(lambda task: task(), tasks))

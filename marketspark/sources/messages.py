@@ -18,16 +18,30 @@ def decode(messages: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     return messages.select(*keep, F.from_json(F.col("value").cast("string"), schema).alias("data")).select(*keep, "data.*")
 
 
-def checked(messages: DataFrame, schema: T.StructType, optional: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """Say per message what is wrong with it, null when nothing is.
+def judged(
+    messages: DataFrame, schema: T.StructType, optional: tuple[str, ...] = ("timestamp",), key: str | None = None, time: str | None = None
+) -> DataFrame:
+    """``messages`` with ``data``, the decoded record, and ``error``, what is wrong with it: null when nothing is.
 
     As strict as a fixed record type: every field but the optional ones must be
-    there and no other may be.  The keys are bound in a lambda, so that a message
-    is read once for all three tests, also where the filter is pushed down.
+    there, no other may be, and a value must be of its field's type.  ``key`` names a field that may not be null,
+    ``time`` one that must be a time.  A row is either good or bad, so filters on ``error`` split the messages without loss
+    and without repeats.  The keys are bound in a lambda, so that a message is read once for all tests of them.
     """
     names = [f.name for f in schema.fields]
+    text = F.col("value").cast("string")
     known = F.array(*[F.lit(n) for n in names])
     required = F.array(*[F.lit(n) for n in names if n not in optional])
+    plain = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = messages.withColumns({"data": F.from_json(text, schema), "__text": F.from_json(text, plain)})
+    wrong = F.lit(False)
+    for n in names:
+        wrong = wrong | (F.col("__text")[n].isNotNull() & F.col("data")[n].isNull())
+    late = []
+    if key:
+        late.append(F.when(F.col("data")[key].isNull(), "no key"))
+    if time:
+        late.append(F.when(F.try_to_timestamp(F.col("data")[time]).isNull(), "no time"))
 
     def verdict(keys: Column) -> Column:
         return (
@@ -36,17 +50,17 @@ def checked(messages: DataFrame, schema: T.StructType, optional: tuple[str, ...]
             .when(F.size(F.array_except(keys, known)) > 0, "unknown field")
         )
 
-    keys = F.json_object_keys(F.col("value").cast("string"))
-    return messages.withColumn("error", F.get(F.transform(F.array(keys), verdict), F.lit(0)))
+    by_keys = F.get(F.transform(F.array(F.json_object_keys(text)), verdict), F.lit(0))
+    return rows.withColumn("error", F.coalesce(by_keys, F.when(wrong, "wrong type"), *late)).drop("__text")
 
 
 def split_good_bad(
     messages: DataFrame, schema: T.StructType, optional: tuple[str, ...] = ("timestamp",)
 ) -> tuple[DataFrame, DataFrame]:
     """Decoded rows with provenance, and the dead letters."""
-    rows = checked(messages, schema, optional)
-    good = decode(rows.filter("error is null"), schema, "partition", "offset").select(
-        *[f.name for f in schema.fields], F.col("partition").alias("_kafka_partition"),
+    rows = judged(messages, schema, optional)
+    good = rows.filter("error is null").select(
+        *[F.col("data")[f.name].alias(f.name) for f in schema.fields], F.col("partition").alias("_kafka_partition"),
         F.col("offset").alias("_kafka_offset"), F.current_timestamp().alias("_consumed_at"),
     )
     bad = rows.filter("error is not null").select("key", "value", "partition", "offset", "error")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,13 +31,16 @@ def export_xml(df: DataFrame, path: str, row_tag: str = "Stock", root_tag: str =
 
 
 def export_training_csv(df: DataFrame, path: str) -> None:
-    """Train and test rows per symbol as CSV.  Files are cut by (split, symbol),
-    not one task per symbol."""
-    df.hint("rebalance", "split", "symbol").write.mode("overwrite").partitionBy("split", "symbol").option(
-        "header", True).csv(path)
+    """Train and test rows as CSV, one folder for each split.
+
+    Files hold ranges of symbols in order, so there are as many as the data needs and not a folder or a task per symbol.
+    """
+    dealt = df.repartitionByRange("split", "symbol", "date").sortWithinPartitions("split", "symbol", "date")
+    dealt.write.mode("overwrite").partitionBy("split").option("header", True).csv(path)
 
 
 def read_training_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of :func:`export_training_csv`; ``schema`` has its columns in their order, split last."""
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
@@ -54,3 +57,13 @@ def publish(df: DataFrame, key: str, topic: str, fmt: str = "kafka", **options)
     writer = counted.write.format(fmt).options(**options)
     (writer if fmt == "kafka" else writer.mode("append")).save()
     return counts.get["sent"], counts.get["errors"]
+
+
+def log_events(df: DataFrame, path: str, *, type: Column, message: Column, detail: Column) -> None:
+    """Append one system event per row of ``df``: type, message, detail and the time of logging.
+
+    A null type is logged as UNKNOWN, a null message as an empty one.
+    """
+    rows = df.select(
+        F.coalesce(type, F.lit("UNKNOWN")).alias("type"), F.coalesce(message, F.lit("")).alias("message"), detail.cast("string").alias("detail"), F.current_timestamp().alias("at"))
+    rows.write.mode("append").parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.dates import iso_utc
 from ..operators.ticks import minute_bars, significant_moves, volume_anomalies, window_bars
-from ..schemas import FILTERED, TOPICS, WINDOW_BAR
+from ..schemas import ALERT, FILTERED, TOPICS, WINDOW_BAR
 from ..sources.messages import encode
 from .sinks import to_console, to_files
 from .state import alert_stream
@@ -39,10 +39,10 @@ def bar_messages(bars: DataFrame) -> DataFrame:
 
 
 def fan_out(ticks: DataFrame, path: str, checkpoint: str, *, once: bool = False) -> list[StreamingQuery]:
-    """Filtered moves and minute bars as keyed messages of their topics, and volume alerts, from one tick stream."""
+    """Filtered moves and minute bars as keyed messages of their topics, and volume alerts as rows and messages, from one tick stream."""
     moves = significant_moves(ticks).withColumn("processed_at", iso_utc(F.current_timestamp()))
     return [
         to_files(keyed(moves, FILTERED, TOPICS["filtered"]), f"{path}/filtered", f"{checkpoint}/filtered", once=once),
-        alert_stream(ticks, f"{path}/volume", f"{checkpoint}/alerts", once=once),
+        alert_stream(ticks, f"{path}/volume", f"{checkpoint}/alerts", messages=lambda a: keyed(a, ALERT, TOPICS["alerts"]), once=once),
         to_files(bar_messages(minute_bars(ticks)), f"{path}/bars", f"{checkpoint}/bars", once=once),
     ]

@@ -26,12 +26,36 @@ def to_files(df: DataFrame, path: str, checkpoint: str, *, by: tuple[str, ...] =
     return _start(writer, once, trigger, path)
 
 
-def to_bronze(messages: DataFrame, schema, path: str, checkpoint: str, by: tuple[str, ...], fmt: str = "parquet") -> StreamingQuery:
-    """Land what is new on a topic in a partitioned table, then stop."""
-    from ..sources.messages import decode
+def to_bronze(messages: DataFrame, schema, path: str, checkpoint: str, by: tuple[str, ...], fmt: str = "parquet",
+              dead: str | None = None, optional: tuple[str, ...] = ()) -> StreamingQuery:
+    """Land what is new on a topic in a partitioned table, then stop.
 
-    rows = decode(messages, schema).withColumn("ingested_at", F.current_timestamp())
-    return to_files(rows, path, checkpoint, by=by, fmt=fmt, once=True)
+    Messages that are no record of ``schema``, or whose partition columns are null, go to ``dead`` (the folder beside the table unless given).
+    """
+    from ..sources.messages import judged
+
+    def good(rows: DataFrame) -> DataFrame:
+        return rows.filter("error is null").select("data.*").withColumn("ingested_at", F.current_timestamp())
+
+    rows = judged(messages, schema, optional or tuple(f.name for f in schema.fields if f.nullable), key=by[0] if by else None)
+    return to_good_and_bad(rows, good, lambda r: r.filter("error is not null").drop("data"), path, dead or f"{path.rstrip('/')}-dead", checkpoint, by=by, fmt=fmt, once=True)
+
+
+def to_good_and_bad(judged: DataFrame, good: Callable[[DataFrame], DataFrame], bad: Callable[[DataFrame], DataFrame], path: str, dead: str,
+                    checkpoint: str, *, by: tuple[str, ...] = (), fmt: str = "parquet", once: bool = False, trigger: str = TRIGGER) -> StreamingQuery:
+    """Two tables from one reading: every micro-batch of judged messages is held once and written twice, to ``batch=<id>`` of each.
+
+    A batch that runs again replaces both of its folders, so no message is lost and none stands twice.
+    """
+    def save(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            good(held).write.mode("overwrite").format(fmt).partitionBy(*by).save(f"{path}/batch={batch_id}")
+            bad(held).write.mode("overwrite").format(fmt).save(f"{dead}/batch={batch_id}")
+        finally:
+            held.unpersist()
+
+    return each_batch(judged, save, checkpoint, once=once, trigger=trigger)
 
 
 def to_console(df: DataFrame, name: str, checkpoint: str, *, fmt: str = "console", once: bool = False,

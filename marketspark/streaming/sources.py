@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TICK
-from ..sources.messages import checked, decode
+from ..sources.messages import judged
 
 WATERMARK = "2 minutes"
 MESSAGE_SCHEMA = "key string, value string, topic string"
@@ -38,14 +38,16 @@ def file_stream(spark: SparkSession, path: str, schema: str, pattern: str = "*.p
 
 
 def table_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A parquet table as a stream, be it one file or a folder of files."""
-    # The pattern matches the file or the folder of that name; a plain file path is no stream source.
-    return spark.readStream.schema(schema).parquet(f"{path}*")
+    """A parquet table as a stream, be it one file or a folder of files; a missing table raises at once."""
+    spark.read.schema(schema).parquet(path)
+    # A plain file path is no stream source; a pattern that only this name matches is.
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def parse_ticks(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Decoded ticks with event time, watermark and ``event_id``; undecodable ones fall out.
+def judged_ticks(messages: DataFrame) -> DataFrame:
+    """``messages`` with ``data``, ``error`` and ``event_id``: one reading for :func:`good_ticks` and :func:`bad_messages`.
 
+    A tick needs a symbol and a time; other fields may be absent, but none may be unknown or of another type.
     ``event_id`` orders ticks of one time: the place in the topic (up to 2^17 partitions of 2^46
     messages), or where messages come without one, a hash of the message.
     """
@@ -53,14 +55,30 @@ def parse_ticks(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
         place = F.col("partition").cast("bigint") * (1 << 46) + F.col("offset")
     else:
         place = F.xxhash64("value").bitwiseAND(F.lit((1 << 63) - 1))
-    keep = [c for c in ("partition", "offset") if c in messages.columns]
-    rows = decode(messages.withColumn("event_id", place), TICK, "event_id", *keep)
-    return with_event_time(rows.withColumn("event_time", F.to_timestamp("timestamp")).filter("symbol is not null"), watermark)
+    optional = tuple(f.name for f in TICK.fields if f.nullable)
+    return judged(messages.withColumn("event_id", place), TICK, optional, key="symbol", time="timestamp")
+
+
+def good_ticks(judged_rows: DataFrame) -> DataFrame:
+    """The ticks of judged messages, with event time."""
+    keep = [c for c in ("partition", "offset") if c in judged_rows.columns]
+    rows = judged_rows.filter("error is null").select("event_id", *keep, "data.*")
+    return rows.withColumn("event_time", F.try_to_timestamp("timestamp"))
+
+
+def bad_messages(judged_rows: DataFrame) -> DataFrame:
+    """The other messages as they came, with the error."""
+    return judged_rows.filter("error is not null").drop("data", "event_id")
+
+
+def parse_ticks(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """Decoded ticks with event time, watermark and ``event_id``; exactly the messages that are no dead letters."""
+    return with_event_time(good_ticks(judged_ticks(messages)), watermark)
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
-    """The messages that :func:`parse_ticks` leaves out, with the reason; a stream of its own beside the parsed one."""
-    return checked(messages, TICK, optional=tuple(f.name for f in TICK.fields if f.nullable)).filter("error is not null")
+    """The messages that :func:`parse_ticks` leaves out, with the reason; ``sinks.to_good_and_bad`` keeps both from one reading."""
+    return bad_messages(judged_ticks(messages))
 
 
 def with_event_time(rows: DataFrame, watermark: str = WATERMARK) -> DataFrame:

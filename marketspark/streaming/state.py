@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,13 +46,19 @@ def volume_state(ticks: DataFrame) -> DataFrame:
         fold, schema, "total bigint, count bigint", "update", GroupStateTimeout.NoTimeout)
 
 
-def alert_stream(ticks: DataFrame, path: str, checkpoint: str, *, once: bool = False, trigger: str = TRIGGER) -> StreamingQuery:
+#: Rows of the alert table.
+ALERT_ROWS = "event_id bigint, symbol string, name string, alert_type string, current_value double, threshold_value double, message string, severity string, timestamp string"
+
+
+def alert_stream(ticks: DataFrame, path: str, checkpoint: str, *, messages: Callable[[DataFrame], DataFrame] | None = None,
+                 once: bool = False, trigger: str = TRIGGER) -> StreamingQuery:
     """Running-mean volume alerts, exact in event order within a micro-batch.
 
     The totals of everything before a batch live in a versioned table of one row
     per symbol; the batch itself goes through the same split running sum as
     batch input.  Alerts and state are written under the batch id, so a repeated
-    batch replaces its own output and reads the same opening state.
+    batch replaces its own output and reads the same opening state.  ``messages`` turns alert rows into
+    messages, which are kept beside them.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -62,7 +68,10 @@ def alert_stream(ticks: DataFrame, path: str, checkpoint: str, *, once: bool = F
             state = None
             if batch_id > 0:
                 state = spark.read.schema("symbol string, total bigint, count bigint").parquet(f"{path}/state/batch={batch_id - 1}")
-            volume_alerts(running_volume(rows, opening=state)).write.mode("overwrite").parquet(f"{path}/alerts/batch={batch_id}")
+            written = f"{path}/alerts/batch={batch_id}"
+            volume_alerts(running_volume(rows, opening=state)).write.mode("overwrite").parquet(written)
+            if messages is not None:
+                messages(spark.read.schema(ALERT_ROWS).parquet(written)).write.mode("overwrite").parquet(f"{path}/messages/batch={batch_id}")
             totals = volume_totals(rows)
             if state is not None:
                 totals = totals.unionByName(state).groupBy("symbol").agg(

@@ -15,8 +15,10 @@ from marketspark.operators import cluster as cl
 from marketspark.operators import indicators as ind
 from marketspark.operators import labels as lab
 from marketspark.operators import models as ml
+from marketspark.operators import scan
 from marketspark.operators import stats as st
 from marketspark.operators import ticks as tk
+from marketspark.runtime import materialize
 from marketspark.schemas import ML20, TICK
 from marketspark.sources import ingest, messages
 
@@ -108,12 +110,24 @@ def test_running_mean_alert(spark):
     assert alert[0]["message"] == "A(A) 거래량 급증: 100 (평균 28의 3.6배)"
 
 
-@pytest.mark.parametrize("bucket", ["1 second", "1 minute", "1 day"])
-def test_split_running_sum_equals_loop(spark, bucket):
-    """One symbol holding everything, with equal times: any split gives the same."""
+@pytest.mark.parametrize("seconds, ranges", [(600, 7), (1, 7), (600, 1)])
+def test_split_running_sum_equals_loop(spark, monkeypatch, seconds, ranges):
+    """One symbol holding everything, with equal times: any split gives the same, and one second lies in several ranges."""
+    found = []
+
+    def kept(df, name):
+        found.append(materialize(df, name))
+        return found[-1]
+
+    monkeypatch.setattr(scan, "materialize", kept)
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rng = np.random.default_rng(5)
-    rows = [(i, int(s), 10, int(v), 0) for i, (s, v) in enumerate(zip(rng.integers(0, 600, 400), rng.integers(-5, 50, 400)))]
-    got = {r["event_id"]: (r["total"], r["count"]) for r in tk.running_volume(ticks(spark, rows), bucket).collect()}
+    rows = [(i, int(s), 10, int(v), 0) for i, (s, v) in enumerate(zip(rng.integers(0, seconds, 400), rng.integers(-5, 50, 400)))]
+    got = {r["event_id"]: (r["total"], r["count"]) for r in tk.running_volume(ticks(session, rows)).collect()}
+    sizes = [r["count"] for r in found[0].groupBy("__range").count().collect()]
+    assert len(sizes) >= ranges - 1 and max(sizes) <= 3 * 400 / ranges
     total, count, want = 0, 0, {}
     for i, s, _, v, _ in sorted(rows, key=lambda r: (r[1], r[0])):
         if v > 0:
@@ -226,18 +240,19 @@ def test_folds_respect_the_gap(spark):
     assert all(at[(f, "train")][1] + 5 < at[(f, "test")][0] for f in range(1, 6))
 
 
-@pytest.mark.parametrize("block_rows", [3, 1000])
+@pytest.mark.parametrize("block_rows", [3, 1000, None])
 def test_silhouette_against_loop(spark, block_rows):
+    """Blocks of all distances, or (None) squared distances from sums of whole clusters."""
     from pyspark.ml.linalg import Vectors
 
     rng = np.random.default_rng(1)
     points, labels = rng.normal(size=(20, 3)), [i % 3 for i in range(19)] + [7]
     df = spark.createDataFrame([(str(i), c, Vectors.dense(p)) for i, (p, c) in enumerate(zip(points, labels))], ["symbol", "cluster", "scaled"])
     df = df.withColumn("cluster", F.col("cluster").cast("int"))
-    parts = cl.silhouette_parts(df, block_rows)
+    parts = cl.euclidean_silhouette_parts(df, block_rows) if block_rows else cl.silhouette_parts(df)
     assert parts.count() == 20
     got = {r["symbol"]: r["silhouette"] for r in parts.collect()}
-    gap = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+    gap = ((points[:, None] - points[None]) ** 2).sum(-1) ** (0.5 if block_rows else 1.0)
     for i in range(20):
         same = [j for j in range(20) if labels[j] == labels[i] and j != i]
         if not same:
@@ -248,6 +263,18 @@ def test_silhouette_against_loop(spark, block_rows):
         assert got[str(i)] == pytest.approx((b - a) / max(a, b))
 
 
+def test_silhouettes_at_their_limits(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame(
+        [(str(i), 0, Vectors.dense([float(i)])) for i in range(5)], ["symbol", "cluster", "scaled"])
+    assert [r["silhouette"] for r in cl.silhouette_parts(df).collect()] == [0.0] * 5
+    monkeypatch.setattr(cl, "EUCLIDEAN_LIMIT", 4)
+    with pytest.raises(ValueError):
+        cl.euclidean_silhouette_parts(df)
+    assert cl.optimal_k(df.limit(2)).count() == 0
+
+
 def test_class_report_with_absent_class(spark):
     rows = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0)], "label int, prediction int")
     report = {r["label"]: r for r in ml.class_report(rows, [-1, 0, 1]).collect()}

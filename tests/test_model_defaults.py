@@ -4,6 +4,8 @@ from dataclasses import fields
 
 import pytest
 
+from marketspark.operators.boosting import Boosting
+from marketspark.operators.perceptron import Network
 from marketspark.plans import QUERIES
 from marketspark.plans import model_queries as mq
 
@@ -51,19 +53,8 @@ def test_clusters(monkeypatch, name, fit, given):
     assert e.value.args == (given, {})
 
 
-def test_window_classifier(monkeypatch):
-    class Windows:
-        def __getattr__(self, name):
-            return lambda *a, **k: self
-
-    monkeypatch.setattr(mq.views, "daily_bars", lambda *a: None)
-    monkeypatch.setattr(mq.ind, "feature_frame", lambda *a, **k: None)
-    monkeypatch.setattr(mq, "sequence_windows", lambda *a: None)
-    monkeypatch.setattr(mq, "flat", lambda *a: None)
-    monkeypatch.setattr(mq.lab, "direction", lambda *a: None)
-    monkeypatch.setattr(mq.F, "col", lambda c: 0)
-    monkeypatch.setattr(mq.ml, "vector_split", lambda *a: (Windows(), Windows()))
-    monkeypatch.setattr(mq.ml, "fit_vectors", stop)
-    with pytest.raises(Fitted) as e:
-        QUERIES["m14_window_classifier"](None, None)
-    assert e.value.args[0][1:] == (400, (128, 64, 32), 3, 300)
+def test_networks_and_rounds():
+    """What the kinds stand for: widths, rounds and rates of the networks and trees."""
+    assert mq.ml.rounds_of(mq.ml.Settings(kind="gb")) == Boosting(200, 4, 0.05, rows=0.8)
+    assert mq.ml.rounds_of(mq.ml.Settings(kind="xgb")) == Boosting(250, 4, 0.05, rows=0.9, columns=0.9, newton=True, l2=1.0, least_curvature=1.0)
+    assert (mq.ml.Settings.hidden, mq.ml.Settings.max_iter) == ((128, 64, 32), 300) and Network() == Network((128, 64, 32), 3, "relu", 300)

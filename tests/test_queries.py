@@ -8,9 +8,8 @@ import oracle
 from marketspark.plans import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# Model reports fit many models; they run in the slow set only.
-SLOW = {"m15_sequence_report", "m20_patch_report", "m24_backtest_report", "m18_transformer_report", "m10_train_and_validate",
-        "m8_gradient_boosting", "m9_boosted_trees", "m6_best_cluster_count"}
+# Boosting fits hundreds of rounds, each of several jobs; they run in the slow set only, smaller ones in test_learners.
+SLOW = {"m8_gradient_boosting", "m9_boosted_trees"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 
