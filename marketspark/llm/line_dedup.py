@@ -7,9 +7,12 @@ sends its own segments and, for each shorter length up to tau less, the substrin
 that may be a segment there; only lines that meet under one (length, number, text) key are
 compared.  Everything is DataFrame expressions.
 
-Comparison is Spark's thresholded ``levenshtein``, which fills a band of the
-matrix and stops early; the reported distance of the lines that pass is computed
-again by a banded bit-parallel recurrence (``banded_distance``), one column of the band in the bits of a number.
+Pairs whose counts of some characters differ by more than ``tau`` edits can explain are passed over in
+the join; a banded bit-parallel recurrence (``banded_distance``), one column of the band in the
+bits of a number, decides the others and gives their distance.
+
+The join needs lines of (tau + 1)^2 characters.  Shorter ones are the same line only where they are equal.
+A line without a word is blank and has no verdict.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
+from .text import WORD
 
 TAU = 2
-#: Lines of fewer characters, such as headings and answers, repeat by nature and are left alone.
-MIN_CHARS = 20
+# Groups of characters that a line's signature counts, of like frequency in Latin scripts; other scripts have few of
+# them, so that the signature rules out less, but nothing that is near.
+COUNTED = ["e", "a", "i", "t", "n", "o", "s", "r", "hl", "ducm"]
 #: Most document ids that are sent to every executor when the texts of candidates are fetched: 16 MB.
 MOST_SENT = 1_000_000
 _SHIFT = 1 << 32
@@ -104,11 +109,20 @@ def banded_distance(a: Column, b: Column, tau: int = TAU) -> Column:
     return F.when(F.abs(n - m) > tau, F.lit(tau + 1)).when((n <= tau) | (m <= tau), F.levenshtein(a, b)).otherwise(found)
 
 
-def occurrences(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, line_no, line) of every line of at least ``min_chars`` characters, blanks around it cut off; rows without id or text have none."""
+def occurrences(documents: DataFrame) -> DataFrame:
+    """(doc_id, line_no, line) of every line with a word, spaces around it cut off; rows without id or text have none."""
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return rows.withColumn("line", F.trim("line")).where(F.length("line") >= min_chars)
+    return rows.withColumn("line", F.trim("line")).where(F.col("line").rlike(WORD))
+
+
+def counts(line: Column) -> list[Column]:
+    """How many characters of each group of ``COUNTED`` a line holds; an edit changes them by two in all at most."""
+    return [(F.length(line) - F.length(F.translate(line, group, ""))).cast("short").alias(f"c{i}") for i, group in enumerate(COUNTED)]
+
+
+def _hashes(line: str = "line") -> list[Column]:
+    return [F.xxhash64(line).alias("h"), F.xxhash64(line, F.lit(1)).alias("g")]
 
 
 def _first(rows: DataFrame, *keys: str) -> DataFrame:
@@ -120,69 +134,70 @@ def _first(rows: DataFrame, *keys: str) -> DataFrame:
     return out.select(*keys, doc.alias("doc_id"), no.alias("line_no"))
 
 
-def near_links(documents: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, line_no, near_doc, near_line, distance): each distinct line (by its first place) and every earlier distinct line within ``tau``."""
-    if min_chars < (tau + 1) ** 2:
-        raise ValueError(f"{tau} edits need lines of at least {(tau + 1) ** 2} characters")
-    distinct = _first(occurrences(documents, min_chars), "line").withColumn("n", F.length("line"))
-    keys = distinct.select("doc_id", "line_no", F.explode(segment_keys(F.col("line"), F.col("n"), tau)).alias("key"))
+def near_links(documents: DataFrame, tau: int = TAU) -> DataFrame:
+    """(h, g, near_doc, near_line, distance): each distinct line of enough characters, by its hashes, and the first place of every
+    distinct line within ``tau`` edits that stands earlier (in an earlier place, or in the same one with a smaller hash)."""
+    distinct = _first(occurrences(documents).where(F.length("line") >= (tau + 1) ** 2), "line").withColumn("n", F.length("line"))
+    place = ["doc_id", "line_no", "h"]
+    keys = distinct.select(*place[:2], F.xxhash64("line").alias("h"), F.explode(segment_keys(F.col("line"), F.col("n"), tau)).alias("key"))
     # Distinct lines: a key's rows are as many lines, so two or more are candidates.
     shared = keys.withColumn("many", F.count("*").over(Window.partitionBy("key"))).where("many > 1").drop("many")
     shared = materialize(shared, "segments")
-    wanted = materialize(shared.select("doc_id", "line_no").distinct(), "wanted")
+    wanted = materialize(shared.select(*place).distinct(), "wanted")
     ids = materialize(wanted.select("doc_id").distinct(), "wanted-documents")
     # Sent to the texts while they are few; otherwise both sides are shuffled.
     ids = F.broadcast(ids) if ids.count() <= MOST_SENT else ids
     texts = documents.withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left_semi")
-    lines = occurrences(texts, min_chars).join(wanted, ["doc_id", "line_no"]).distinct()
-    full = materialize(shared.join(lines, ["doc_id", "line_no"]), "candidates")
-    a = full.select("key", "doc_id", "line_no", "line")
-    b = full.select("key", *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "line_no", "line")])
-    earlier = (F.col("b_doc_id") < F.col("doc_id")) | ((F.col("b_doc_id") == F.col("doc_id")) & (F.col("b_line_no") < F.col("line_no")))
-    # The comparison is part of the join: pairs that fail are never rows.
-    near = F.levenshtein("line", "b_line", tau).between(1, tau)
-    found = a.join(b, "key").where(earlier & near).select("doc_id", "line_no", "b_doc_id", "b_line_no", "line", "b_line").distinct()
-    return found.select("doc_id", "line_no", F.col("b_doc_id").alias("near_doc"), F.col("b_line_no").alias("near_line"),
-                        banded_distance(F.col("line"), F.col("b_line"), tau).alias("distance"))
-
-
-def line_verdicts(documents: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, line_no, kept, first_doc, first_line, distance and ``h`` (the line's hash) of every line of at least ``min_chars`` characters.
+    # Two documents may share an id; the hash tells their lines apart.
+    lines = occurrences(texts).withColumns({"h": _hashes()[0], "g": _hashes()[1]}).join(wanted, place).distinct()
+    lines = lines.select(*place, "g", "line", F.length("line").cast("int").alias("n"), *counts(F.col("line")))
+    full = materialize(shared.join(lines, place), "candidates")
+    b = full.select("key", *[F.col(c).alias(f"b_{c}") for c in full.columns if c not in ("key", "g")])
+    at, other = F.struct(*place), F.struct(*[f"b_{c}" for c in place])
+    few = sum((F.abs(F.col(f"c{i}") - F.col(f"b_c{i}")) for i in range(1, len(COUNTED))), F.abs(F.col("c0") - F.col("b_c0")))
+    # The signatures are part of the join: pairs that they rule out are never rows.
+    may = (F.abs(F.col("n") - F.col("b_n")) <= tau) & (few <= 2 * tau)
+    pairs = full.join(b, "key").where((other < at) & may).select("h", "g", "b_doc_id", "b_line_no", "line", "b_line").distinct()
+    found = pairs.withColumn("distance", banded_distance(F.col("line"), F.col("b_line"), tau)).where(F.col("distance").between(1, tau))
+    return found.select("h", "g", F.col("b_doc_id").alias("near_doc"), F.col("b_line_no").alias("near_line"), "distance")
+
+
+def line_verdicts(documents: DataFrame, tau: int = TAU) -> DataFrame:
+    """doc_id, line_no, kept, first_doc, first_line, distance and ``h`` (the line's hash) of every line with a word.
 
     The first place of a line is the smallest (doc_id, line_no) of an equal line
-    or of one within ``tau`` edits of it; only the line that stands there itself is kept.  Lines are equal by 128 bits of hash.
-    Rows of one id and text are one document.
+    or, from (tau + 1)^2 characters on, of one within ``tau`` edits of it; only the line that stands there itself is kept.  Lines are equal by 128 bits of hash.
+    Rows of one id and text are one document; different texts under one id are judged each by its own lines.
     """
-    links = materialize(near_links(documents, tau, min_chars), "near-lines")
-    place = F.struct(F.col("near_doc").alias("d"), F.col("near_line").alias("n"), "distance")
-    nearest = links.groupBy("doc_id", "line_no").agg(F.min(place).alias("p"))
-    nearest = nearest.select(F.col("doc_id").alias("l_doc"), F.col("line_no").alias("l_line"), "p")
-    places = occurrences(documents, min_chars).select("doc_id", "line_no", F.xxhash64("line").alias("h"), F.xxhash64("line", F.lit(1)).alias("g"))
-    places = materialize(places, "places")
+    links = materialize(near_links(documents, tau), "near-lines")
+    nearest = links.groupBy("h", "g").agg(F.min(F.struct(F.col("near_doc").alias("d"), F.col("near_line").alias("n"), "distance")).alias("p"))
+    places = materialize(occurrences(documents).select("doc_id", "line_no", *_hashes()), "places")
     firsts = _first(places, "h", "g").withColumnsRenamed({"doc_id": "f_doc", "line_no": "f_line"})
-    origin = firsts.join(nearest, (F.col("f_doc") == F.col("l_doc")) & (F.col("f_line") == F.col("l_line")), "left").select(
-        "h", "g", F.coalesce("p.d", "f_doc").alias("first_doc"), F.coalesce("p.n", "f_line").alias("first_line"), F.coalesce("p.distance", F.lit(0)).alias("distance"))
-    kept = (F.col("doc_id") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
+    origin = firsts.join(nearest, ["h", "g"], "left").select(
+        "h", "g", F.col("p").isNull().alias("own"), F.coalesce("p.d", "f_doc").alias("first_doc"), F.coalesce("p.n", "f_line").alias("first_line"),
+        F.coalesce("p.distance", F.lit(0)).alias("distance"))
+    kept = F.col("own") & (F.col("doc_id") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
     return places.join(origin, ["h", "g"]).select("doc_id", "line_no", kept.alias("kept"), "first_doc", "first_line", "distance", "h")
 
 
-def drop_lines(documents: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_lines(documents: DataFrame, tau: int = TAU, spare: int = 0) -> DataFrame:
     """``documents`` without the lines that are not kept; ``n_chars`` follows the text.
 
+    Lines of fewer than ``spare`` characters stay wherever they repeat; by default there are none.
     A row of which no line with a word is left goes; so a copy of a whole document goes with
     its last line.  Rows that lose nothing stay as they are, also empty and null texts and rows without id.
     """
-    gone = line_verdicts(documents, tau, min_chars).where("NOT kept").groupBy("doc_id").agg(
+    gone = line_verdicts(documents, tau).where("NOT kept").groupBy("doc_id").agg(
         F.collect_set(F.struct("line_no", "h")).alias("__gone")).withColumnRenamed("doc_id", "__id")
     rows = documents.join(gone, F.col("doc_id") == F.col("__id"), "left")
     # The hash tells apart documents that share an id.
     numbered = F.transform(F.split("text", "\n", -1), lambda s, i: F.struct(i.alias("line_no"), F.xxhash64(F.trim(s)).alias("h"), s.alias("s")))
-    stay = F.filter(numbered, lambda r: ~F.array_contains(F.col("__gone"), F.struct(r["line_no"], r["h"])))
+    stay = F.filter(numbered, lambda r: (F.length(F.trim(r["s"])) < spare) | ~F.array_contains(F.col("__gone"), F.struct(r["line_no"], r["h"])))
     left = F.array_join(F.transform(stay, lambda r: r["s"]), "\n")
     hit = F.col("__gone").isNotNull() & F.col("text").isNotNull()
     out = rows.withColumn("__left", F.when(hit, left))
     lost = F.coalesce(F.length("__left") < F.length("text"), F.lit(False))
-    out = out.where(~(lost & ~F.coalesce(F.col("__left").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))))
+    out = out.where(~(lost & ~F.coalesce(F.col("__left").rlike(WORD), F.lit(True))))
     changed = {"text": F.when(lost, F.col("__left")).otherwise(F.col("text"))}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType

@@ -180,7 +180,7 @@ def test_lines_of_a_hot_family(spark):
     base = "a line that stands in very many of the documents here"
     texts = ["\n".join([edited(rng, base, rng.randrange(5)), base if i % 3 else "short", f"own line number {i} of the text, long enough"]) for i in range(60)]
     rows = [(i, t) for i, t in enumerate(texts)]
-    lines = [(i, k, s.strip(" ")) for i, t in rows for k, s in enumerate(t.split("\n")) if len(s.strip(" ")) >= 20]
+    lines = [(i, k, s.strip(" ")) for i, t in rows for k, s in enumerate(t.split("\n"))]
     first = {}
     for i, k, s in lines:
         first.setdefault(s, (i, k))
@@ -194,12 +194,25 @@ def test_lines_of_a_hot_family(spark):
             row = new
         return row[-1]
 
-    origin = {s: min([f, *(g for u, g in first.items() if g < f and abs(len(u) - len(s)) <= 2 and distance(u, s) <= 2)]) for s, f in first.items()}
+    origin = {s: min([f, *(g for u, g in first.items() if g < f and min(len(u), len(s)) >= 9 and abs(len(u) - len(s)) <= 2 and distance(u, s) <= 2)]) for s, f in first.items()}
     got = line_dedup.line_verdicts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["line_no"], r["kept"], r["first_doc"], r["first_line"]) for r in got) == sorted(
         (i, k, origin[s] == (i, k), *origin[s]) for i, k, s in lines)
 
 
+def test_short_lines_and_texts_that_share_an_id(spark):
+    x = "a line of some length that stands first"
+    rows = [(1, x), (5, x + "s"), (5, "a wholly different line of the same id"), (7, "short line one\n\n \t \nok"), (8, "own words here\nshort line one\nok\nno"), (9, "okk")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"], r["first_doc"], r["first_line"], r["kept"]) for r in line_dedup.line_verdicts(table).collect()}
+    assert got == {(1, 0, 1, 0, True), (5, 0, 1, 0, False), (5, 0, 5, 0, True), (7, 0, 7, 0, True), (7, 3, 7, 3, True), (8, 0, 8, 0, True),
+                   (8, 1, 7, 0, False), (8, 2, 7, 3, False), (8, 3, 8, 3, True), (9, 0, 9, 0, True)}
+    left = sorted((r["doc_id"], r["text"]) for r in line_dedup.drop_lines(table).collect())
+    assert left == [(1, x), (5, "a wholly different line of the same id"), (7, "short line one\n\n \t \nok"), (8, "own words here\nno"), (9, "okk")]
+    spared = dict((r["doc_id"], r["text"]) for r in line_dedup.drop_lines(table.where("doc_id > 6"), spare=9).collect())
+    assert spared[8] == "own words here\nok\nno"
+
+
 def test_drop_lines(odd, empty):
     out = line_dedup.drop_lines(odd)
     assert out.columns == odd.columns
