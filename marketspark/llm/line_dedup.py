@@ -11,7 +11,8 @@ Pairs whose counts of some characters differ by more than ``tau`` edits can expl
 the join; a banded bit-parallel recurrence (``banded_distance``), one column of the band in the
 bits of a number, decides the others and gives their distance.
 
-The join needs lines of (tau + 1)^2 characters.  Shorter ones are the same line only where they are equal.
+Lines of fewer than ``EDIT_FROM`` characters are the same line only where they are equal: in so few, two
+edits make another line (a number, a name), and their segments of a few characters would be shared by all texts.
 A line without a word is blank and has no verdict.
 """
 
@@ -24,6 +25,8 @@ from ..runtime import materialize
 from .text import WORD
 
 TAU = 2
+#: Characters from which lines are joined by edits, a tenth of them for two; at least (tau + 1)^2, so that every substring lies inside.
+EDIT_FROM = 20
 # Groups of characters that a line's signature counts, of like frequency in Latin scripts; other scripts have few of
 # them, so that the signature rules out less, but nothing that is near.
 COUNTED = ["e", "a", "i", "t", "n", "o", "s", "r", "hl", "ducm"]
@@ -134,10 +137,12 @@ def _first(rows: DataFrame, *keys: str) -> DataFrame:
     return out.select(*keys, doc.alias("doc_id"), no.alias("line_no"))
 
 
-def near_links(documents: DataFrame, tau: int = TAU) -> DataFrame:
-    """(h, g, near_doc, near_line, distance): each distinct line of enough characters, by its hashes, and the first place of every
+def near_links(documents: DataFrame, tau: int = TAU, edit_from: int = EDIT_FROM) -> DataFrame:
+    """(h, g, near_doc, near_line, distance): each distinct line of at least ``edit_from`` characters, by its hashes, and the first place of every
     distinct line within ``tau`` edits that stands earlier (in an earlier place, or in the same one with a smaller hash)."""
-    distinct = _first(occurrences(documents).where(F.length("line") >= (tau + 1) ** 2), "line").withColumn("n", F.length("line"))
+    if edit_from < (tau + 1) ** 2:
+        raise ValueError(f"{tau} edits need lines of at least {(tau + 1) ** 2} characters")
+    distinct = _first(occurrences(documents).where(F.length("line") >= edit_from), "line").withColumn("n", F.length("line"))
     place = ["doc_id", "line_no", "h"]
     keys = distinct.select(*place[:2], F.xxhash64("line").alias("h"), F.explode(segment_keys(F.col("line"), F.col("n"), tau)).alias("key"))
     # Distinct lines: a key's rows are as many lines, so two or more are candidates.
@@ -162,14 +167,14 @@ def near_links(documents: DataFrame, tau: int = TAU) -> DataFrame:
     return found.select("h", "g", F.col("b_doc_id").alias("near_doc"), F.col("b_line_no").alias("near_line"), "distance")
 
 
-def line_verdicts(documents: DataFrame, tau: int = TAU) -> DataFrame:
+def line_verdicts(documents: DataFrame, tau: int = TAU, edit_from: int = EDIT_FROM) -> DataFrame:
     """doc_id, line_no, kept, first_doc, first_line, distance and ``h`` (the line's hash) of every line with a word.
 
     The first place of a line is the smallest (doc_id, line_no) of an equal line
-    or, from (tau + 1)^2 characters on, of one within ``tau`` edits of it; only the line that stands there itself is kept.  Lines are equal by 128 bits of hash.
+    or, from ``edit_from`` characters on, of one within ``tau`` edits of it; only the line that stands there itself is kept.  Lines are equal by 128 bits of hash.
     Rows of one id and text are one document; different texts under one id are judged each by its own lines.
     """
-    links = materialize(near_links(documents, tau), "near-lines")
+    links = materialize(near_links(documents, tau, edit_from), "near-lines")
     nearest = links.groupBy("h", "g").agg(F.min(F.struct(F.col("near_doc").alias("d"), F.col("near_line").alias("n"), "distance")).alias("p"))
     places = materialize(occurrences(documents).select("doc_id", "line_no", *_hashes()), "places")
     firsts = _first(places, "h", "g").withColumnsRenamed({"doc_id": "f_doc", "line_no": "f_line"})
@@ -180,14 +185,14 @@ def line_verdicts(documents: DataFrame, tau: int = TAU) -> DataFrame:
     return places.join(origin, ["h", "g"]).select("doc_id", "line_no", kept.alias("kept"), "first_doc", "first_line", "distance", "h")
 
 
-def drop_lines(documents: DataFrame, tau: int = TAU, spare: int = 0) -> DataFrame:
+def drop_lines(documents: DataFrame, tau: int = TAU, edit_from: int = EDIT_FROM, spare: int = 0) -> DataFrame:
     """``documents`` without the lines that are not kept; ``n_chars`` follows the text.
 
     Lines of fewer than ``spare`` characters stay wherever they repeat; by default there are none.
     A row of which no line with a word is left goes; so a copy of a whole document goes with
     its last line.  Rows that lose nothing stay as they are, also empty and null texts and rows without id.
     """
-    gone = line_verdicts(documents, tau).where("NOT kept").groupBy("doc_id").agg(
+    gone = line_verdicts(documents, tau, edit_from).where("NOT kept").groupBy("doc_id").agg(
         F.collect_set(F.struct("line_no", "h")).alias("__gone")).withColumnRenamed("doc_id", "__id")
     rows = documents.join(gone, F.col("doc_id") == F.col("__id"), "left")
     # The hash tells apart documents that share an id.

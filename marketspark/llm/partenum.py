@@ -24,8 +24,9 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
@@ -38,6 +39,8 @@ SLACK, THIN = 15, (3, 2, 1)
 #: FREQUENT_FROM reported texts, FREQUENT at most, are left out.  16 bytes each.
 LOCAL_FROM, FREQUENT_FROM, FREQUENT = 6, 40, 1 << 17
 _COUNTED = 4_000_000
+#: Of how many pairs that share an edit one is compared, round by round; the last round compares all that are still apart.
+SHARES = (64, 8, 1)
 #: A set's sketch: for each of 64 x SKETCH hash buckets, whether it holds an odd number of its shingles.
 SKETCH = 8
 _ODD = [f"odd{i}" for i in range(SKETCH)]
@@ -203,15 +206,19 @@ def _array_rows(words: int):
                 found = list(shingle_sets(part, words))
                 offsets = np.concatenate([[0], np.cumsum([len(s) for _, s in found])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").take(pa.array([r for r, _ in found], pa.int64())),
+                    pa.array([_keys(s)[0] for _, s in found], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), signed(np.concatenate([s for _, s in found]))),
-                ], names=["doc_id", "shingles"])
+                ], names=["rep", "shingles"])
 
     return run
 
 
 class Join:
-    """The steps of the join over one documents table; ``kind`` is the type of doc_id."""
+    """The steps of the join over one documents table; ``kind`` is the type of doc_id.
+
+    A class of equal sets is named by ``rep``, the first key of its set, since one id may stand on several texts;
+    ``classes`` has its smallest id as ``doc_id``.
+    """
 
     def __init__(self, documents: DataFrame, words: int, percent: int):
         self.docs = documents.select("doc_id", "text")
@@ -233,6 +240,13 @@ class Join:
         rank[np.lexsort((h, n))] = np.arange(len(h))
         return h[order], rank[order]
 
+    def classes(self, sets: DataFrame) -> DataFrame:
+        """(rep, k1, k2, n, doc_id, odd*) of every set with words and an id."""
+        rows = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", F.col("n_shingles").alias("n")).agg(
+            F.min("doc_id").alias("doc_id"), *[F.min(x).alias(x) for x in _ODD])  # equal in a class
+        self.known = materialize(rows.withColumn("rep", F.col("k1")), "classes")
+        return self.known
+
     def shared(self, classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
         """(sig, rep, n): members of the signatures that at least two classes share."""
         held = self.docs.sparkSession.sparkContext.broadcast(frequent)
@@ -247,11 +261,13 @@ class Join:
 
     def arrays_of(self, pairs: DataFrame) -> DataFrame:
         """(a, b, sa, sb): the shingle arrays of both sides of ``pairs`` (a, b)."""
-        needed = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
-        arrays = self.docs.join(needed, "doc_id", "left_semi").mapInArrow(_array_rows(self.words), f"doc_id {self.kind}, shingles array<long>")
-        arrays = materialize(arrays, "arrays")
-        with_a = pairs.join(arrays.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-        return with_a.join(arrays.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
+        needed = materialize(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "needed")
+        ids = materialize(self.known.join(needed, "rep", "left_semi").select("doc_id").distinct(), "needed-ids")
+        arrays = self.docs.join(ids, "doc_id", "left_semi").mapInArrow(_array_rows(self.words), "rep long, shingles array<long>")
+        # An id may stand on other texts as well, and on one text twice.
+        arrays = materialize(arrays.join(needed, "rep", "left_semi").dropDuplicates(["rep"]), "arrays")
+        with_a = pairs.join(arrays.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
+        return with_a.join(arrays.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """``pairs`` (a, b) whose sets are similar enough, compared shingle by shingle."""
@@ -267,10 +283,10 @@ class Join:
         """
         degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
         ranked = members.join(degree, "rep")
-        hub = ranked.groupBy("sig").agg(F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n")).alias("h"))
-        met = ranked.join(hub, "sig").where((F.col("rep") != -F.col("h.r")) & self.similar_size("n", "h.n"))
+        hub = ranked.groupBy("sig").agg(F.max(F.struct("degree", F.col("rep").alias("r"), "n")).alias("h"))
+        met = ranked.join(hub, "sig").where((F.col("rep") != F.col("h.r")) & self.similar_size("n", "h.n"))
         first = met.groupBy("rep", "n").agg(F.max("h").alias("h")).select(
-            F.col("rep").alias("a"), (-F.col("h.r")).alias("b"), F.col("h.n").alias("hub_n"), "n")
+            F.col("rep").alias("a"), F.col("h.r").alias("b"), F.col("h.n").alias("hub_n"), "n")
         both = self.arrays_of(materialize(first, "stars"))
         out = both.select(
             F.col("a").alias("rep"), F.col("b").alias("hub"), F.size("sa").cast("long").alias("n"), F.size("sb").cast("long").alias("hub_n"),
@@ -287,8 +303,8 @@ class Join:
         apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"b{x}"))) for x in _ODD[1:]), F.bit_count(F.col(_ODD[0]).bitwiseXOR(F.col(f"b{_ODD[0]}"))))
         return apart * (100 + self.percent) <= (100 - self.percent) * (F.col("n") + F.col("bn"))
 
-    def around_hubs(self, stars: DataFrame, classes: DataFrame) -> DataFrame:
-        """Candidate pairs of classes close to one hub h, of which a is not linked to it.
+    def edits(self, stars: DataFrame, classes: DataFrame) -> DataFrame:
+        """The elements of the differences of classes close to one hub h: two similar classes, of which a is not linked to it, share one.
 
         If a and b are similar, their differences from h share more than p / (100 + p) of
         b's difference: |da| exceeds the bound for (a, h), and b's size is at most |h| + |db|.  So one of b's first
@@ -314,14 +330,35 @@ class Join:
         size = F.col("na") + F.col("nr")
         place = at + F.when(F.col("old") == 0, new_alone).otherwise(alone)
         placed = placed.withColumn("prefix", place <= size - F.floor(size * p / (100 + p))).join(classes.select("rep", *_ODD), "rep")
-        placed = materialize(placed, "placed")
-        left = placed.where("NOT linked").select("hub", "e", "old", "rep", "n", "na", "nr", *_ODD)
-        right = placed.where("prefix").select("hub", "e", *[F.col(c).alias(f"b{c}") for c in ("rep", "n", "na", "nr", *_ODD)])
-        removed = F.least("nr", "bnr")
+        return materialize(placed, "placed")
+
+    def may_share(self):
+        """Whether the counts of added and removed elements (na, nr, bna, bnr) leave room for two sets that share element e to be similar."""
+        p, removed = self.percent, F.least("nr", "bnr")
         most = removed + F.when(F.col("old") == 0, F.least("na", "bna")).otherwise(0)
         enough = 2 * most * (100 + p) >= (F.col("na") + F.col("nr") + F.col("bna") + F.col("bnr")) * (100 + p) - (100 - p) * (F.col("n") + F.col("bn"))
-        pairs = left.join(right, ["hub", "e"]).where((F.col("rep") != F.col("brep")) & self.similar_size("n", "bn") & enough & self.may_be_similar())
-        return pairs.select(F.least("rep", "brep").alias("a"), F.greatest("rep", "brep").alias("b")).distinct()
+        return enough & self.similar_size("n", "bn") & self.may_be_similar()
+
+    def around_hubs(self, placed: DataFrame, links: DataFrame) -> DataFrame:
+        """Links of classes around one hub that leave no similar two of them in different components.
+
+        A shared edit can put most of a family in one bucket, where nearly all are linked with one another
+        somehow.  A small part of the pairs, drawn by hash, joins most of such a family; so the rounds form a growing ``SHARES`` of the
+        pairs and only those whose classes are still in different components, the last round all of these.
+        """
+        found = links
+        for share in SHARES:
+            label = components(found)
+            rows = placed.join(label, F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep"))
+            rows = materialize(rows.drop("node", "component"), "placed-components")
+            left = rows.where("NOT linked").select("hub", "e", "old", "rep", "n", "na", "nr", "c", *_ODD)
+            right = rows.where("prefix").select("hub", "e", *[F.col(c).alias(f"b{c}") for c in ("rep", "n", "na", "nr", "c", *_ODD)])
+            a, b = F.least("rep", "brep"), F.greatest("rep", "brep")
+            drawn = F.pmod(F.xxhash64(a, b), F.lit(share)) == 0
+            pairs = left.join(right, ["hub", "e"]).where((F.col("c") != F.col("bc")) & drawn & self.may_share())
+            pairs = pairs.select(a.alias("a"), b.alias("b")).distinct()
+            found = materialize(found.unionByName(self.verified(pairs)), "links-around-hubs")
+        return found
 
     def across(self, members: DataFrame, stars: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
         """Candidate pairs of one signature that lie around different hubs and in different components.
@@ -348,8 +385,23 @@ class Join:
         """Links that leave no two similar classes in different components."""
         stars = self.stars(members)
         links = stars.where("linked").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-        pairs = self.around_hubs(stars, classes).unionByName(self.across(members, stars, components(links), classes)).distinct()
-        return links.unionByName(self.verified(pairs))
+        links = self.around_hubs(self.edits(stars, classes), links)
+        return links.unionByName(self.verified(self.across(members, stars, components(links), classes)))
+
+
+def labelled_sets(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, k1, k2, c and component_id of every row; c names the component, null without words or without any id for the set."""
+    join = Join(documents, words, percent)
+    found = join.sets()
+    sets = found.where("n_shingles >= 0")
+    classes = join.classes(sets)
+    label = components(join.links(join.shared(classes, join.frequent(found)), classes))
+    named = classes.join(label, classes["rep"] == label["node"], "left").select("k1", "k2", "n", "doc_id", F.coalesce("component", "rep").alias("c"))
+    named = materialize(named, "labels")
+    least = named.groupBy("c").agg(F.min("doc_id").alias("found"))
+    named = named.drop("doc_id").join(least, "c").withColumnsRenamed({"k1": "c1", "k2": "c2"})
+    same = (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n_shingles") == F.col("n"))
+    return sets.join(named, same, "left").select("doc_id", "n_shingles", "k1", "k2", "c", F.coalesce("found", "doc_id").alias("component_id"))
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -361,29 +413,38 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     component whatever their ids; a null id gets the component of its set, if any row of it has an id.  Repeated ids
     are told apart by their texts.  Shingles and sets are compared by 64-bit hashes.
     """
-    join = Join(documents, words, percent)
-    found = join.sets()
-    sets = found.where("n_shingles >= 0")
-    classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", F.col("n_shingles").alias("n")).agg(
-        F.min("doc_id").alias("rep"), *[F.min(x).alias(x) for x in _ODD])  # equal in a class
-    classes = materialize(classes, "classes")
-    label = components(join.links(join.shared(classes, join.frequent(found)), classes))
-    named = classes.join(label, classes["rep"] == label["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("found"))
-    named = named.withColumnsRenamed({"k1": "c1", "k2": "c2"})
-    same = (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n_shingles") == F.col("n"))
-    out = sets.join(named, same, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
+    return labelled_sets(documents, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def set_key(text: Column, words: int) -> Column:
+    """First key of a text's set, null for one without words."""
+    @F.pandas_udf("long")
+    def keys(texts: pd.Series) -> pd.Series:
+        out = []
+        for part in slices(pa.array(texts, pa.string())):
+            out += [_keys(s)[0] if len(s) else None for _, s in shingle_sets(part, words)]
+        return pd.Series(out, dtype="Int64")
+
+    return keys(text)
 
 
 def drop_near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` with one row of each component: that of its smallest id.  Rows without words or id all stay.
+    """``documents`` with one row of each component: one of its smallest id.  Rows without words or id all stay.
 
-    Exact repeats of a row that stays are dropped, where there are any.
+    Rows are told apart by id and set, so a text that shares its id with an unlike one goes and stays by its own component.
     """
-    found = materialize(near_duplicates(documents, words, percent).where("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    rows = documents.join(gone, documents["doc_id"] == F.col("__gone"), "left_anti")
-    if found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return rows
-    one = rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    return one.unionByName(rows.where("doc_id IS NULL"))
+    found = materialize(labelled_sets(documents, words, percent).where("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
+    first = found.where("doc_id = component_id").groupBy("c").agg(F.min("k1").alias("first"))
+    judged = found.join(first, "c").select("doc_id", "k1", ((F.col("doc_id") == F.col("component_id")) & (F.col("k1") == F.col("first"))).alias("stays"))
+    judged = materialize(judged, "judged")
+    gone = judged.where("NOT stays").select(F.col("doc_id").alias("__gone"), F.col("k1").alias("__k1")).distinct()
+    # Ids on several rows, of one set or of different ones; their rows are looked at one by one.
+    several = judged.groupBy(F.col("doc_id").alias("__several")).agg(F.count("*").alias("n")).where("n > 1").select("__several")
+    several = materialize(several, "several")
+    if several.isEmpty():
+        return documents.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    plain = documents.join(several, F.col("doc_id") == F.col("__several"), "left_anti").join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    rows = documents.join(several, F.col("doc_id") == F.col("__several"), "left_semi").withColumn("__key", set_key(F.col("text"), words))
+    rows = materialize(rows, "rows-of-several")
+    one = rows.where("__key IS NOT NULL").join(gone, (F.col("doc_id") == F.col("__gone")) & (F.col("__key") == F.col("__k1")), "left_anti").dropDuplicates(["doc_id", "__key"])
+    return plain.unionByName(one.drop("__key")).unionByName(rows.where("__key IS NULL").drop("__key"))

@@ -113,7 +113,7 @@ WITH o AS (
 u AS (SELECT line, length(line) AS n, min({'d': doc_id, 'n': line_no}) AS f FROM o GROUP BY line),
 x AS (
   SELECT a.f, min({'p': b.f, 'e': levenshtein(a.line, b.line)}) AS m
-  FROM u a JOIN u b ON a.n >= 9 AND b.n >= 9 AND b.n BETWEEN a.n - 2 AND a.n + 2 AND b.f < a.f AND levenshtein(a.line, b.line) <= 2 GROUP BY a.f),
+  FROM u a JOIN u b ON a.n >= 20 AND b.n >= 20 AND b.n BETWEEN a.n - 2 AND a.n + 2 AND b.f < a.f AND levenshtein(a.line, b.line) <= 2 GROUP BY a.f),
 r AS (SELECT u.line, coalesce(m.p, u.f) AS p, coalesce(m.e, 0) AS e FROM u LEFT JOIN x ON x.f = u.f)
 SELECT o.doc_id, o.line_no, o.doc_id = r.p.d AND o.line_no = r.p.n AS kept, r.p.d AS first_doc, r.p.n AS first_line,
   CAST(r.e AS INTEGER) AS distance

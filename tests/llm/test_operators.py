@@ -113,6 +113,37 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, n, percent, seed)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_one_id_on_two_texts(spark):
+    rng = random.Random(2)
+    x, y = (" ".join(f"{c}{rng.randrange(900)}" for _ in range(80)) for c in "xy")
+    rows = [(1, x), (5, x + " end"), (5, y), (9, y + " end"), (9, y + " end"), (7, "alone here in five words"), (7, "alone here in five words"), (7, ""), (7, ""), (None, x), (3, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["n_shingles"] > 0, r["component_id"]) for r in partenum.near_duplicates(table).collect())
+    assert got == Counter([(1, True, 1), (5, True, 1), (5, True, 5), (9, True, 5), (9, True, 5), (7, True, 7), (7, True, 7), (7, False, 7), (7, False, 7), (None, True, 1), (3, False, 3)])
+    left = Counter((r["doc_id"], r["text"]) for r in partenum.drop_near_duplicates(table).collect())
+    assert left == Counter([(1, x), (5, y), (7, "alone here in five words"), (7, ""), (7, ""), (None, x), (3, None)])
+
+
+def test_a_family_that_shares_an_edit_forms_few_pairs(spark, monkeypatch):
+    """Variants of one text, most of them too far from any hub, all with one edit in common."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(900):
+        w = list(words)
+        w[100] = "shared"
+        for at in rng.sample(range(200), rng.randrange(2, 6)):
+            w[at] = f"e{rng.randrange(4)}"
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    seen = []
+    verified = partenum.Join.verified
+    monkeypatch.setattr(partenum.Join, "verified", lambda self, pairs: seen.append(pairs.count()) or verified(self, pairs))
+    got = partenum.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_of(rows, 4, 85)
+    assert sum(seen) < 8 * len(rows), seen  # over 20,000 pairs share an edit and pass the sketches
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     got = Counter((r["doc_id"], r["component_id"]) for r in partenum.near_duplicates(odd).collect())
     assert got[(6, 5)] == 2 and got[(5, 5)] == 1 and got[(8, 7)] == 1 and got[(1, 1)] == got[(2, 2)] == got[(3, 3)] == 1
@@ -194,7 +225,7 @@ def test_lines_of_a_hot_family(spark):
             row = new
         return row[-1]
 
-    origin = {s: min([f, *(g for u, g in first.items() if g < f and min(len(u), len(s)) >= 9 and abs(len(u) - len(s)) <= 2 and distance(u, s) <= 2)]) for s, f in first.items()}
+    origin = {s: min([f, *(g for u, g in first.items() if g < f and min(len(u), len(s)) >= 20 and abs(len(u) - len(s)) <= 2 and distance(u, s) <= 2)]) for s, f in first.items()}
     got = line_dedup.line_verdicts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["line_no"], r["kept"], r["first_doc"], r["first_line"]) for r in got) == sorted(
         (i, k, origin[s] == (i, k), *origin[s]) for i, k, s in lines)
