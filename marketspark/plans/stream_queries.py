@@ -340,3 +340,16 @@ def g12_stream(spark, sf):
     good = spark.read.parquet(f"{out}/ticks").select(F.lit("good").alias("verdict"), F.col("symbol").alias("key"), "partition", "offset")
     dead = spark.read.parquet(f"{out}/dead").select(F.col("error").alias("verdict"), "key", "partition", "offset")
     return good.unionByName(dead).groupBy("verdict", "key").agg(F.count("*").alias("n"), F.countDistinct("partition", "offset").alias("messages"))
+
+
+@query("y3_bars_by_timer", with_ctes(TICKS, body=_minute_sql()))
+def y3_timers(spark, sf):
+    """Bars kept in keyed state and sent by event-time timers, over two runs of one checkpoint."""
+    out = shared_dir(spark, "y3t")
+    for half in ("ts < '2024-01-16'", "ts >= '2024-01-16'"):
+        views.table(spark, sf, "events").filter(half).write.mode("append").parquet(f"{out}/in")
+        events = sources.file_stream(_session(spark), f"{out}/in", sources.EVENT_SCHEMA)
+        ticks = views.ticks_from_events(events).withColumn("event_time", F.col("event_time").cast("timestamp"))
+        _done(sinks.to_files(state.bars_by_timer(ticks), f"{out}/rows", f"{out}/cp", once=True))
+    rows = spark.read.parquet(f"{out}/rows").withColumn("window_start", F.timestamp_millis("minute"))
+    return _naive(rows, "window_start").select("window_start", *_BAR_COLUMNS)

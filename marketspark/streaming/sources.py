@@ -9,6 +9,8 @@ from ..schemas import TICK
 from ..sources.messages import judged
 
 WATERMARK = "2 minutes"
+#: Spark's state store for keyed state with timers; it also keeps large state out of the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MESSAGE_SCHEMA = "key string, value string, topic string"
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -94,4 +96,5 @@ def state_session(spark: SparkSession, partitions: int) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return session

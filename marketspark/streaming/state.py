@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.ticks import running_volume, volume_alerts, with_volume
 from .sinks import TRIGGER, each_batch
@@ -46,6 +47,85 @@ def volume_state(ticks: DataFrame) -> DataFrame:
         fold, schema, "total bigint, count bigint", "update", GroupStateTimeout.NoTimeout)
 
 
+class BarKeeper(StatefulProcessor):
+    """Open minute bars of a symbol, each with a timer at its end, and the running volume of the symbol until it has been idle.
+
+    A timer that passes the watermark sends its bar and forgets it; one that finds nothing newer after ``idle`` forgets the
+    symbol's sums, so state follows the symbols that trade and not all that ever did.
+    """
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.bars = handle.getMapState("bars", "minute bigint", "first string, open double, high double, low double, last string, close double, volume bigint, n bigint")
+        self.sums = handle.getValueState("sums", "total bigint, count bigint, last bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        total, count, last = self.sums.get() if self.sums.exists() else (0, 0, 0)
+        newest = last
+        for part in rows:
+            for r in part.itertuples(index=False):
+                minute = (int(r.minute),)
+                if not self.bars.containsKey(minute):
+                    self.handle.registerTimer(minute[0] + 60_000)
+                    bar = (r.first, r.open, r.high, r.low, r.last, r.close, int(r.volume), int(r.n))
+                else:
+                    b = self.bars.getValue(minute)
+                    first, last_ = (b[0], b[1]) <= (r.first, r.open), (b[4], b[5]) >= (r.last, r.close)
+                    bar = (b[0] if first else r.first, b[1] if first else r.open, max(b[2], r.high), min(b[3], r.low),
+                           b[4] if last_ else r.last, b[5] if last_ else r.close, b[6] + int(r.volume), b[7] + int(r.n))
+                self.bars.updateValue(minute, bar)
+                total, count, newest = total + int(r.volume), count + int(r.n), max(newest, minute[0])
+        if newest != last:
+            if last:
+                self.handle.deleteTimer(last + self.idle_ms)
+            self.handle.registerTimer(newest + self.idle_ms)
+        self.sums.update((total, count, newest))
+        yield pd.DataFrame(columns=BAR_COLUMNS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        out = []
+        if self.bars.containsKey((at - 60_000,)):
+            b = self.bars.getValue((at - 60_000,))
+            out.append((key[0], at - 60_000, b[1], b[2], b[3], b[5], b[6], b[7]))
+            self.bars.removeKey((at - 60_000,))
+        if self.sums.exists() and self.sums.get()[2] + self.idle_ms <= at:
+            self.sums.clear()
+        yield pd.DataFrame(out, columns=BAR_COLUMNS)
+
+    def close(self) -> None:
+        pass
+
+
+BAR_COLUMNS = ["symbol", "minute", "open", "high", "low", "close", "volume", "event_count"]
+TIMER_BARS = "symbol string, minute long, open double, high double, low double, close double, volume long, event_count long"
+
+
+def bars_by_timer(ticks: DataFrame, idle_ms: int = 600_000) -> DataFrame:
+    """Minute bars that an event-time timer sends when the watermark has passed their end, from keyed state.
+
+    Ticks become one partial bar for each symbol and minute of an Arrow batch before the shuffle, so a hot symbol's
+    task receives bars.  Needs the RocksDB state store, which :func:`sources.state_session` sets.
+    """
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = batch.sort_values("at").groupby(["symbol", "minute"], as_index=False).agg(
+                event_time=("event_time", "max"), first=("at", "first"), open=("price", "first"), high=("price", "max"), low=("price", "min"),
+                last=("at", "last"), close=("price", "last"), volume=("volume", "sum"), n=("volume", "size"))
+            yield found[["symbol", "minute", "event_time", "first", "open", "high", "low", "last", "close", "volume", "n"]]
+
+    # Time and id as one text of fixed width, which orders like the two numbers.
+    at = F.concat(F.lpad(F.unix_micros("event_time").cast("string"), 20, "0"), F.lpad(F.col("event_id").cast("string"), 20, "0"))
+    minute = F.floor(F.unix_millis("event_time") / 60_000) * 60_000
+    rows = ticks.select("symbol", minute.cast("long").alias("minute"), "event_time", at.alias("at"), "price", "volume").mapInPandas(
+        partial, "symbol string, minute long, event_time timestamp, first string, open double, high double, low double, last string, close double, volume long, n long")
+    watermarked = rows.withWatermark("event_time", "2 minutes")
+    return watermarked.groupBy("symbol").transformWithStateInPandas(BarKeeper(idle_ms), TIMER_BARS, "Append", "EventTime")
+
+
 #: Rows of the alert table.
 ALERT_ROWS = "event_id bigint, symbol string, name string, alert_type string, current_value double, threshold_value double, message string, severity string, timestamp string"
 
