@@ -7,8 +7,8 @@ sends its own segments and, for each shorter length up to tau less, the substrin
 that may be a segment there; only lines that meet under one (length, number, text) key are
 compared.  Everything is DataFrame expressions.
 
-Pairs whose counts of some characters differ by more than ``tau`` edits can explain are passed over in
-the join; a banded bit-parallel recurrence (``banded_distance``), one column of the band in the
+Pairs whose characters differ by more than ``tau`` edits can explain are passed over in
+the join, by a parity signature of 64 bits; a banded bit-parallel recurrence (``banded_distance``), one column of the band in the
 bits of a number, decides the others and gives their distance.
 
 Lines of fewer than ``EDIT_FROM`` characters are the same line only where they are equal: in so few, two
@@ -27,9 +27,6 @@ from .text import WORD
 TAU = 2
 #: Characters from which lines are joined by edits, a tenth of them for two; at least (tau + 1)^2, so that every substring lies inside.
 EDIT_FROM = 20
-# Groups of characters that a line's signature counts, of like frequency in Latin scripts; other scripts have few of
-# them, so that the signature rules out less, but nothing that is near.
-COUNTED = ["e", "a", "i", "t", "n", "o", "s", "r", "hl", "ducm"]
 #: Most document ids that are sent to every executor when the texts of candidates are fetched: 16 MB.
 MOST_SENT = 1_000_000
 _SHIFT = 1 << 32
@@ -119,9 +116,11 @@ def occurrences(documents: DataFrame) -> DataFrame:
     return rows.withColumn("line", F.trim("line")).where(F.col("line").rlike(WORD))
 
 
-def counts(line: Column) -> list[Column]:
-    """How many characters of each group of ``COUNTED`` a line holds; an edit changes them by two in all at most."""
-    return [(F.length(line) - F.length(F.translate(line, group, ""))).cast("short").alias(f"c{i}") for i, group in enumerate(COUNTED)]
+def signature(line: Column) -> Column:
+    """64 bits: for every hash value of a character, whether the line holds an odd number of them.  An edit changes two at most."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(
+        F.call_function("shiftleft", one, F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))))
 
 
 def _hashes(line: str = "line") -> list[Column]:
@@ -155,14 +154,15 @@ def near_links(documents: DataFrame, tau: int = TAU, edit_from: int = EDIT_FROM)
     texts = documents.withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left_semi")
     # Two documents may share an id; the hash tells their lines apart.
     lines = occurrences(texts).withColumns({"h": _hashes()[0], "g": _hashes()[1]}).join(wanted, place).distinct()
-    lines = lines.select(*place, "g", "line", F.length("line").cast("int").alias("n"), *counts(F.col("line")))
+    lines = lines.select(*place, "g", "line", F.length("line").alias("n"), signature(F.col("line")).alias("bits"))
     full = materialize(shared.join(lines, place), "candidates")
     b = full.select("key", *[F.col(c).alias(f"b_{c}") for c in full.columns if c not in ("key", "g")])
-    at, other = F.struct(*place), F.struct(*[f"b_{c}" for c in place])
-    few = sum((F.abs(F.col(f"c{i}") - F.col(f"b_c{i}")) for i in range(1, len(COUNTED))), F.abs(F.col("c0") - F.col("b_c0")))
-    # The signatures are part of the join: pairs that they rule out are never rows.
-    may = (F.abs(F.col("n") - F.col("b_n")) <= tau) & (few <= 2 * tau)
-    pairs = full.join(b, "key").where((other < at) & may).select("h", "g", "b_doc_id", "b_line_no", "line", "b_line").distinct()
+    same = F.col("b_doc_id") == F.col("doc_id")
+    earlier = (F.col("b_doc_id") < F.col("doc_id")) | (same & (F.col("b_line_no") < F.col("line_no"))) | (
+        same & (F.col("b_line_no") == F.col("line_no")) & (F.col("b_h") < F.col("h")))
+    # The signatures are part of the join, in few operations: pairs that they rule out are never rows.
+    may = (F.abs(F.col("n") - F.col("b_n")) <= tau) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("b_bits"))) <= 2 * tau)
+    pairs = full.join(b, "key").where(earlier & may).select("h", "g", "b_doc_id", "b_line_no", "line", "b_line").distinct()
     found = pairs.withColumn("distance", banded_distance(F.col("line"), F.col("b_line"), tau)).where(F.col("distance").between(1, tau))
     return found.select("h", "g", F.col("b_doc_id").alias("near_doc"), F.col("b_line_no").alias("near_line"), "distance")
 
