@@ -163,9 +163,12 @@ def near_links(documents: DataFrame, tau: int = TAU, edit_from: int = EDIT_FROM)
     # The signatures are part of the join, in few operations: pairs that they rule out are never rows.
     may = (F.abs(F.col("n") - F.col("b_n")) <= tau) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("b_bits"))) <= 2 * tau)
     pairs = full.join(b, "key").where(earlier & may).select("h", "g", "b_doc_id", "b_line_no", "line", "b_line").distinct()
-    # Written first: as a filter over the join, Spark would run the recurrence on every pair of a key.
-    pairs = materialize(pairs, "line-pairs")
-    found = pairs.withColumn("distance", banded_distance(F.col("line"), F.col("b_line"), tau)).where(F.col("distance").between(1, tau))
+    # Written before the recurrence, which Spark would else run on every pair of a key as a filter over the join,
+    # and again behind it, so that it runs once a pair; spread, as its work is much for few bytes.
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = materialize(pairs, "line-pairs").repartition(parts)
+    measured = materialize(pairs.withColumn("distance", banded_distance(F.col("line"), F.col("b_line"), tau)).drop("line", "b_line"), "distances")
+    found = measured.where(F.col("distance").between(1, tau))
     return found.select("h", "g", F.col("b_doc_id").alias("near_doc"), F.col("b_line_no").alias("near_line"), "distance")
 
 
