@@ -7,8 +7,8 @@ sends its own segments and, for each shorter length up to tau less, the substrin
 that may be a segment there; only lines that meet under one (length, number, text) key are
 compared.  Everything is DataFrame expressions.
 
-Pairs whose characters differ by more than ``tau`` edits can explain are passed over in
-the join, by a parity signature of 64 bits; a banded bit-parallel recurrence (``banded_distance``), one column of the band in the
+Pairs that a parity signature of their characters (64 bits) or Spark's thresholded ``levenshtein`` rules out are passed over in
+the join; a banded bit-parallel recurrence (``banded_distance``), one column of the band in the
 bits of a number, decides the others and gives their distance.
 
 Lines of fewer than ``EDIT_FROM`` characters are the same line only where they are equal: in so few, two
@@ -160,8 +160,10 @@ def near_links(documents: DataFrame, tau: int = TAU, edit_from: int = EDIT_FROM)
     same = F.col("b_doc_id") == F.col("doc_id")
     earlier = (F.col("b_doc_id") < F.col("doc_id")) | (same & (F.col("b_line_no") < F.col("line_no"))) | (
         same & (F.col("b_line_no") == F.col("line_no")) & (F.col("b_h") < F.col("h")))
-    # The signatures are part of the join, in few operations: pairs that they rule out are never rows.
+    # Part of the join, cheapest first, so that pairs ruled out are never rows: the signatures alone let millions of
+    # pairs of one hot family of lines pass that are three or more edits apart.
     may = (F.abs(F.col("n") - F.col("b_n")) <= tau) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("b_bits"))) <= 2 * tau)
+    may = may & (F.levenshtein("line", "b_line", tau) >= 0)
     pairs = full.join(b, "key").where(earlier & may).select("h", "g", "b_doc_id", "b_line_no", "line", "b_line").distinct()
     # Written before the recurrence, which Spark would else run on every pair of a key as a filter over the join,
     # and again behind it, so that it runs once a pair; spread, as its work is much for few bytes.
