@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketspark.schemas import MACRO, TICK
+from marketspark.sources.messages import split_good_bad
 from marketspark.streaming import sinks, sources
 
 GOOD = {"symbol": "s", "price": 1.5, "volume": 3, "timestamp": "2024-01-01T00:00:00+00:00"}
@@ -59,3 +60,10 @@ def test_a_table_stream_reads_its_own_table_alone(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         sources.table_stream(spark, str(tmp_path / "none.parquet"), "id long")
+
+
+def test_a_message_is_read_once(spark):
+    """Neither the filter on the verdict nor the single fields bring readings of their own."""
+    raw = spark.range(4).selectExpr("cast(id as string) AS key", "concat('{\"symbol\":\"', id, '\"}') AS value", "0 AS partition", "id AS offset")
+    for part in split_good_bad(raw, TICK):
+        assert part._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
