@@ -84,12 +84,14 @@ def silhouette_parts(points: DataFrame) -> DataFrame:
     return scored.select("symbol", "cluster", F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)).alias("silhouette"))
 
 
-#: Points for which all distances may be computed.
+#: Points for which all distances may be computed unless a caller asks for any number.
 EUCLIDEAN_LIMIT = 50_000
+#: Points of a block whose distances to the other block are held at once.
+CHUNK = 500
 
 
-def euclidean_silhouette_parts(points: DataFrame, block_rows: int = 2000) -> DataFrame:
-    """Silhouette of every point with Euclidean distance; more than ``EUCLIDEAN_LIMIT`` points raise ValueError.
+def euclidean_silhouette_parts(points: DataFrame, block_rows: int = 8000, any_number: bool = False) -> DataFrame:
+    """Silhouette of every point with Euclidean distance; more than ``EUCLIDEAN_LIMIT`` points raise ValueError unless ``any_number`` is set.
 
     Points are hashed into blocks of about ``block_rows``; every block meets
     every block once, as a pair of bounded matrices in one task.  What leaves a
@@ -97,7 +99,7 @@ def euclidean_silhouette_parts(points: DataFrame, block_rows: int = 2000) -> Dat
     quadratic by definition; ``silhouette_parts`` is linear.
     """
     n = points.count()
-    if n > EUCLIDEAN_LIMIT:
+    if n > EUCLIDEAN_LIMIT and not any_number:
         raise ValueError(f"{n} points need {n} x {n} distances; the squared silhouette needs none")
     blocks = max(1, -(-n // block_rows))
     base = points.select("symbol", "cluster", vector_to_array("scaled").alias("v")).withColumn(
@@ -114,11 +116,14 @@ def euclidean_silhouette_parts(points: DataFrame, block_rows: int = 2000) -> Dat
         if a.empty or b.empty:
             return empty
         x, y = np.stack(a["v"].to_numpy()), np.stack(b["other_v"].to_numpy())
-        gap = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * x @ y.T, 0.0))
-        out = []
-        for cluster, at in b.groupby("other_cluster").indices.items():
-            out.append(pd.DataFrame({"symbol": a["symbol"], "own": a["cluster"], "other": cluster,
-                                     "total": gap[:, at].sum(axis=1), "size": len(at)}))
+        squares, out = (y**2).sum(1)[None], []
+        clusters = b.groupby("other_cluster").indices.items()
+        for lo in range(0, len(x), CHUNK):
+            part, rows = x[lo : lo + CHUNK], a.iloc[lo : lo + CHUNK]
+            gap = np.sqrt(np.maximum((part**2).sum(1)[:, None] + squares - 2 * part @ y.T, 0.0))
+            for cluster, at in clusters:
+                out.append(pd.DataFrame({"symbol": rows["symbol"], "own": rows["cluster"], "other": cluster,
+                                         "total": gap[:, at].sum(axis=1), "size": len(at)}))
         return pd.concat(out, ignore_index=True)
 
     sums = left.groupBy("i", "j").cogroup(right.groupBy("other_i", "other_j")).applyInPandas(

@@ -229,7 +229,7 @@ SELECT symbol, round(coalesce((b - a) / greatest(a, b), 0), 6) + 0 AS silhouette
 def m4(spark, sf):
     region = views.table(spark, sf, "region").select(F.col("r_name").alias("cluster"), F.col("r_regionkey").alias("id"))
     points = assigned(spark, sf).join(region, "cluster").drop("cluster").withColumnRenamed("id", "cluster")
-    return cl.euclidean_silhouette_parts(cl.standardise(points), block_rows=40).select("symbol", F.round("silhouette", 6).alias("silhouette"))
+    return cl.euclidean_silhouette_parts(cl.standardise(points), any_number=True).select("symbol", F.round("silhouette", 6).alias("silhouette"))
 
 
 _SQUARED = " + ".join(f"power(x.{c} - y.{c}, 2)" for c in CLUSTER8)

@@ -275,6 +275,17 @@ def test_silhouettes_at_their_limits(spark, monkeypatch):
     assert cl.optimal_k(df.limit(2)).count() == 0
 
 
+def test_all_distances_of_any_number_of_points(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(str(i), i % 2, Vectors.dense([float(i * i)])) for i in range(9)], ["symbol", "cluster", "scaled"])
+    df = df.withColumn("cluster", F.col("cluster").cast("int"))
+    whole = sorted(cl.euclidean_silhouette_parts(df).collect())
+    monkeypatch.setattr(cl, "EUCLIDEAN_LIMIT", 4)
+    monkeypatch.setattr(cl, "CHUNK", 2)
+    assert sorted(cl.euclidean_silhouette_parts(df, any_number=True).collect()) == whole
+
+
 def test_class_report_with_absent_class(spark):
     rows = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0)], "label int, prediction int")
     report = {r["label"]: r for r in ml.class_report(rows, [-1, 0, 1]).collect()}
