@@ -52,3 +52,17 @@ def test_split_draws_the_same_rows_and_writes_no_window(spark, monkeypatch, limi
     assert rows_of(train, "symbol", "date", "key") == rows_of(ml.bounded(parts.filter("split = 'train'"), limit), "symbol", "date", "key")
     assert rows_of(test, "symbol", "date") == rows_of(parts.filter("split = 'test'"), "symbol", "date")
     assert not written and "Exchange" not in test._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_csv_is_written_from_the_partitions_it_comes_in(spark, tmp_path):
+    from marketspark.sources import writers
+
+    rows = spark.range(60).selectExpr("concat('s', id % 6) AS symbol", "date_add(date'2024-01-01', cast(-id as int)) AS date", "id / 4 AS v", "if(id % 5 = 0, 'test', 'train') AS split")
+    writers.export_training_csv(rows.repartition(3, "symbol"), str(tmp_path / "csv"))
+    files = sorted((tmp_path / "csv").glob("split=*/*.csv.gz"))
+    assert 2 <= len(files) <= 6
+    back = writers.read_training_csv(spark, str(tmp_path / "csv"), "symbol string, date date, v double, split string")
+    assert rows_of(back, *rows.columns) == rows_of(rows, *rows.columns)
+    for f in files:
+        got = [(r[0], r[1]) for r in spark.read.schema("symbol string, date date, v double").option("header", True).csv(str(f)).collect()]
+        assert got == sorted(got) and got
