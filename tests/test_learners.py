@@ -169,3 +169,28 @@ def test_newest_windows(spark):
 
     got = {r["symbol"]: (str(r["date"]), r["signal"], r["p"]) for r in ml.score_newest_windows(Model(), df, ["a", "b"], 5).collect()}
     assert got == {"long": ("2024-01-30", "BUY", [0.1, 0.2, 0.7]), "short": ("2024-01-04", "HOLD", [0.0, 1.0, 0.0])}
+
+
+def test_no_histogram_reaches_the_driver(spark, monkeypatch):
+    import pickle
+
+    from pyspark import RDD
+
+    sizes, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: (got := collect(self), sizes.append(len(pickle.dumps(got))))[0])
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 8))
+    df = spark.createDataFrame([(*map(float, r), int(r[0] > 0), int(i)) for i, r in enumerate(x)], [*[f"c{i}" for i in range(8)], "label", "key"])
+    boosting.fit(df, [f"c{i}" for i in range(8)], boosting.Boosting(rounds=2, depth=3))
+    assert len(sizes) == 6 and max(sizes) < 10_000
+
+
+def test_rows_walk_trees_in_parts(monkeypatch):
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, boosting.BINS, (101, 5)).astype(np.uint8)
+    rounds = [[boosting.Tree(3) for _ in range(3)] for _ in range(60)]
+    for tree in sum(rounds, []):
+        tree.feature[:], tree.cut[:], tree.value[:] = rng.integers(0, 5, 7), np.where(rng.random(7) < 0.2, 255, rng.integers(0, 64, 7)), rng.normal(size=8)
+    monkeypatch.setattr(boosting, "WALK_ROWS", 7)
+    expected = np.stack([sum(r[k].predict(bins) for r in rounds) for k in range(3)], axis=1)
+    assert np.allclose(boosting.added(np.zeros((101, 3)), bins, rounds), expected)
