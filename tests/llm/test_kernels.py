@@ -182,3 +182,27 @@ def test_mixture_finds_both_languages():
     theta, chosen = langid.identify(log_p, np.concatenate([draw(0, 3000), draw(2, 1000)]))
     assert sorted(chosen) == [0, 2] and theta[0] == pytest.approx(0.75, abs=0.05)
     assert langid.identify(log_p, draw(1, 2000))[1] == [1]
+
+
+def test_scores_ask_once_for_words_and_once_for_bigrams():
+    """Without a vocabulary every word before is a word, so its level is asked for once; what is asked for is distinct and sorted."""
+    rng = np.random.default_rng(3)
+    end = np.array([bloom_lm.END], np.int64).view(np.uint64)
+    tokens = np.concatenate([np.concatenate([text.mix(rng.integers(0, 50, n).astype(np.uint64)), end]) for n in (0, 40, 7, 0, 300)])
+    model = {"n": 10_000, "types": 60, "vocabulary": None}
+    before = np.concatenate([end, tokens[:-1]])
+    want = np.unique(np.concatenate([tokens, bloom_lm._bigrams(before, tokens)]) & bloom_lm._KEPT)
+    np.testing.assert_array_equal(bloom_lm._asked(model, tokens), want)
+    np.testing.assert_array_equal(bloom_lm._distinct(tokens[:0]), tokens[:0])
+    calls = []
+
+    def level(h):
+        calls.append(h)
+        return 1 + (h >> np.uint64(60)).astype(np.int64) % 4
+
+    got = bloom_lm._scores(model, level, tokens)
+    assert len(calls) == 2
+    count = lambda h: bloom_lm.expected(level(h & bloom_lm._KEPT))
+    p = (count(tokens) + bloom_lm.ADD) / (model["n"] + bloom_lm.ADD * 61)
+    linked = np.minimum(1.0, count(bloom_lm._bigrams(before, tokens)) / count(before))
+    np.testing.assert_allclose(got, np.log10(bloom_lm.LAMBDA * linked + (1 - bloom_lm.LAMBDA) * p))
