@@ -21,6 +21,8 @@ TOKENIZER = "byte_bpe_50k.json"
 SEQUENCE = 2048
 OPEN_BINS = 256
 END_ID = 0
+#: Marks that are cut off the end of a word; the rest of the word is mostly known without them.
+TAIL = ".,!?;:#$%&*"
 
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile("[^\\S \\n]|\\u180e")
@@ -28,15 +30,17 @@ _LOADED: dict[str, "Encoder"] = {}
 #: The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on in order.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+_SPACE = _BYTE_CHARS[ord(" ")]
 
 
 class Encoder(dict):
     """Token ids of texts as little-endian uint32 bytes, remembered by chunk.
 
     The pre-tokeniser of a byte-level BPE never joins a non-space to a space
-    that follows, nor a letter to full stops or commas, so the ids of a text are those of its chunks one
+    that follows, nor a letter to the marks of TAIL or to one newline before it, so the ids of a text are those of its chunks one
     after another.  A text with any space but blank and newline is encoded whole.
-    A new chunk that is one Latin word goes to the tokenizer's model directly, past the pre-tokeniser that would leave it as it is.
+    A new chunk that is one Latin word goes to the tokenizer's model directly, past the pre-tokeniser that would leave it as it is
+    and past the searches for other spaces and marks, of which it has none.
     A tokenizer of another kind encodes every text whole.
     The memory is two generations of at most ``limit`` chunks.
     """
@@ -59,16 +63,24 @@ class Encoder(dict):
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def new(self, chunk: str) -> bytes:
-        word = chunk[1:] if chunk[0] == " " else chunk
-        if word.isalpha() and max(word) < "\u0250":
-            return array("I", [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
-        return self.whole(chunk)
+    def latin(self, chunk: str) -> bytes | None:
+        """Ids of a chunk that is one Latin word, None of any other."""
+        spaced = chunk[0] == " "
+        word = chunk[1:] if spaced else chunk
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            letters = _SPACE + word if spaced else word
+        elif max(word) < "\u0250":
+            letters = chunk.encode().decode("latin-1").translate(_BYTE_CHARS)
+        else:
+            return None
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     @staticmethod
     def parts(chunk: str) -> tuple[str, str]:
-        """A chunk without the full stops and commas after its last letter, and these."""
-        base = chunk.rstrip(".,")
+        """A chunk without the marks of TAIL after its last letter, and these."""
+        base = chunk.rstrip(TAIL)
         return (base, chunk[len(base) :]) if base and base[-1].isalpha() and base[-1] < "\u0250" else (chunk, "")
 
     def keep(self, chunk: str, found: bytes) -> None:
@@ -79,11 +91,18 @@ class Encoder(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
+        if found is None:
+            found = self.latin(chunk)
         if found is None:
             if _OTHER_SPACE.search(chunk):
                 raise KeyError(chunk)
             base, tail = self.parts(chunk)
-            found = self[base] + self[tail] if tail else self.new(chunk)
+            if tail:
+                found = self[base] + self[tail]
+            elif chunk[0] == "\n" and chunk[1:2].isalpha() and chunk[1] < "\u0250":
+                found = self["\n"] + self[chunk[1:]]
+            else:
+                found = self.whole(chunk)
         if len(chunk) <= 64:
             self.keep(chunk, found)
         return found

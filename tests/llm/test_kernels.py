@@ -206,3 +206,20 @@ def test_scores_ask_once_for_words_and_once_for_bigrams():
     p = (count(tokens) + bloom_lm.ADD) / (model["n"] + bloom_lm.ADD * 61)
     linked = np.minimum(1.0, count(bloom_lm._bigrams(before, tokens)) / count(before))
     np.testing.assert_allclose(got, np.log10(bloom_lm.LAMBDA * linked + (1 - bloom_lm.LAMBDA) * p))
+
+
+def test_marks_and_one_newline_are_cut_off_new_words(monkeypatch):
+    """Ids are those of the whole text; a new word costs no call of the pre-tokeniser for its marks or the newline before it."""
+    import public_tokenizers
+
+    encode = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    plain = encode.tokenizer
+    texts = ["\nqworple qworple%%% Ünx#$*\nÜnx a;: b!? c&.", "\n\nqworple\n \nx'll! don't% 's. 12%\n12# x̀! ǅ: a b%", "\n", "!", " %", "\n%a", "a<|im_end|>% |>.", "\n᠎a."]
+    for t in texts:
+        assert encode.ids(t) == np.array(plain.encode(t, add_special_tokens=False).ids, np.uint32).tobytes(), t
+    calls = []
+    whole = packing.Encoder.whole
+    monkeypatch.setattr(packing.Encoder, "whole", lambda self, chunk: calls.append(chunk) or whole(self, chunk))
+    fresh = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    fresh.ids("\nqworple%%% zorbel%%%\nzorbel qworple")
+    assert sorted(calls) == ["\n", "%%%"]
