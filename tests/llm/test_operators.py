@@ -144,6 +144,40 @@ def test_a_family_that_shares_an_edit_forms_few_pairs(spark, monkeypatch):
     assert sum(seen) < 8 * len(rows), seen  # over 20,000 pairs share an edit and pass the sketches
 
 
+def test_a_family_around_an_outer_hub_forms_few_pairs(spark, monkeypatch):
+    """Each variant differs from the text in few places and from any other variant, its hub too, in twice as many."""
+    rng = random.Random(7)
+    texts = []
+    for _ in range(1200):
+        w = [f"w{i}" for i in range(150)]
+        for at in rng.sample(range(150), rng.randrange(2, 4)):
+            w[at] = f"e{rng.randrange(40)}"
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    met, seen = [], []
+    buckets, verified = partenum.Join.mixed_buckets, partenum.Join.verified
+
+    def counted(self, placed, label):
+        met.append(buckets(self, placed, label))
+        return met[-1]
+
+    monkeypatch.setattr(partenum.Join, "mixed_buckets", counted)
+    monkeypatch.setattr(partenum.Join, "verified", lambda self, pairs: seen.append(pairs.count()) or verified(self, pairs))
+    got = partenum.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_of(rows, 4, 85)
+    assert sum(seen) < len(rows) // 2, seen
+    assert sum(left for _, left, _ in met) < 40 * len(rows), met
+
+
+@pytest.mark.parametrize("n, percent, seed, large", [(4, 85, 5, 10**9), (5, 80, 6, 2), (4, 85, 7, 2)])
+def test_rounds_with_local_hubs_equal_brute_force(spark, monkeypatch, n, percent, seed, large):
+    monkeypatch.setattr(partenum, "FEW", 0)
+    monkeypatch.setattr(partenum, "LARGE", large)
+    rows = variants(seed)
+    got = partenum.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n, percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_of(rows, n, percent)
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     got = Counter((r["doc_id"], r["component_id"]) for r in partenum.near_duplicates(odd).collect())
     assert got[(6, 5)] == 2 and got[(5, 5)] == 1 and got[(8, 7)] == 1 and got[(1, 1)] == got[(2, 2)] == got[(3, 3)] == 1
