@@ -144,32 +144,28 @@ def test_a_family_that_shares_an_edit_forms_few_pairs(spark, monkeypatch):
     assert sum(seen) < 8 * len(rows), seen  # over 20,000 pairs share an edit and pass the sketches
 
 
-def test_a_family_around_an_outer_hub_forms_few_pairs(spark, monkeypatch):
-    """Each variant differs from the text in few places and from any other variant, its hub too, in twice as many."""
+def test_a_family_moves_from_an_outer_hub_to_its_centre(spark, empty):
+    """Variants of one set around a hub that is far out in the family: all share the hub's own edits, none is linked to it."""
     rng = random.Random(7)
-    texts = []
-    for _ in range(1200):
-        w = [f"w{i}" for i in range(150)]
-        for at in rng.sample(range(150), rng.randrange(2, 4)):
-            w[at] = f"e{rng.randrange(40)}"
-        texts.append(" ".join(w))
-    rows = list(enumerate(texts))
-    met, seen = [], []
-    buckets, verified = partenum.Join.mixed_buckets, partenum.Join.verified
-
-    def counted(self, placed, label):
-        met.append(buckets(self, placed, label))
-        return met[-1]
-
-    monkeypatch.setattr(partenum.Join, "mixed_buckets", counted)
-    monkeypatch.setattr(partenum.Join, "verified", lambda self, pairs: seen.append(pairs.count()) or verified(self, pairs))
-    got = partenum.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_of(rows, 4, 85)
-    assert sum(seen) < len(rows) // 2, seen
-    assert sum(left for _, left, _ in met) < 40 * len(rows), met
-
-
-@pytest.mark.parametrize("n, percent, seed, large", [(4, 85, 5, 10**9), (5, 80, 6, 2), (4, 85, 7, 2)])
+    base = set(range(147))
+    sets = {0: base - {*range(13)} | {*range(1000, 1013)}, 1: base - {20} | {1020}}
+    for rep in range(2, 400):
+        k = rng.randrange(2, 9)
+        sets[rep] = base - {*rng.sample(range(147), k)} | {*(2000 + rng.randrange(3000) for _ in range(k))}
+    join = partenum.Join(empty, 4, 85)
+    rows = [(rep, 0, len(s), len(sets[0]), sorted(s - sets[0]), sorted(sets[0] - s)) for rep, s in sets.items() if rep]
+    stars = join.judged(spark.createDataFrame(rows, "rep long, hub long, n long, hub_n long, added array<long>, removed array<long>"))
+    near = partenum.materialize(stars, "test-stars")
+    got = join.recentred(near).collect()
+    assert sorted(r["rep"] for r in got) == sorted(r[0] for r in rows)
+    for r in got:
+        a, h = sets[r["rep"]], sets[r["hub"]]
+        assert (r["n"], r["hub_n"], sorted(r["added"]), sorted(r["removed"])) == (len(a), len(h), sorted(a - h), sorted(h - a))
+        assert r["linked"] == (100 * len(a & h) >= 85 * len(a | h)) and r["close"] == (len(a ^ h) * 185 <= 60 * (len(a) + len(h)))
+    assert near.where("linked").count() < 40 and sum(r["linked"] for r in got) > 350
+
+
+@pytest.mark.parametrize("n, percent, seed, large", [(4, 85, 5, 10**9), (5, 80, 6, 2)])
 def test_rounds_with_local_hubs_equal_brute_force(spark, monkeypatch, n, percent, seed, large):
     monkeypatch.setattr(partenum, "FEW", 0)
     monkeypatch.setattr(partenum, "LARGE", large)
