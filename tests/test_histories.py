@@ -54,6 +54,36 @@ def test_split_draws_the_same_rows_and_writes_no_window(spark, monkeypatch, limi
     assert not written and "Exchange" not in test._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("together", [3, 10_000])
+def test_blocks_of_smoothed_rows_equal_windows_over_labelled_rows(spark, monkeypatch, together):
+    """Also where a symbol comes in several Arrow batches, has no label at all, or no symbol or date."""
+    monkeypatch.setattr(seq, "BLOCK_ROWS", 8)
+    rows = panel(spark).withColumn("up", F.when(F.coalesce(F.col("symbol") != "s2", F.lit(True)), F.col("up")))
+    rows = rows.unionByName(spark.createDataFrame([("s4", None, -1.0, 1)], rows.schema)).repartition(2, "symbol").sortWithinPartitions("symbol", F.desc("date"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", together)
+    try:
+        got = seq.history_of_smoothed(rows, ["v"], F.col("up"), (5,), 6)
+        labelled = rows.filter("up is not null")
+        assert rows_of(got.cut(5).withColumnRenamed("label", "up"), "symbol", "date", "up", "window", "rn", "n_rows") == rows_of(
+            plain(labelled, 5), "symbol", "date", "up", "window", "rn", "n_rows")
+        assert got.rows_before(5, 0.8) == ordered_split(plain(labelled, 5)).filter("split = 'train'").count()
+        newest = {r["symbol"]: (r["date"], r["vector"], r["n"]) for r in got.newest().collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["date"] is not None, r["date"])):
+        want.setdefault(r["symbol"], []).append(r)
+    assert newest == {k: (v[-1]["date"], [r["v"] for r in v[-6:]], min(6, len(v))) for k, v in want.items()}
+    assert "Exchange" not in got.blocks._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_training_row_of_the_split_is_given(spark):
+    """More rows than the 40,000 that a fit once drew."""
+    rows = spark.range(60_000).selectExpr("concat('s', id % 20) AS symbol", "date_add(date'2000-01-01', cast(id / 20 as int)) AS date", "id / 7 AS v", "cast(id % 2 as int) AS up")
+    train, test = ml.vector_split(seq.history(rows, ["v"], F.col("up"), (5,)), 5, seq.flat())
+    assert train.count() == 20 * 2396 and test.count() == 20 * 599
+
+
 def test_training_csv_is_written_from_the_partitions_it_comes_in(spark, tmp_path):
     from marketspark.sources import writers
 

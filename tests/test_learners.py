@@ -194,3 +194,37 @@ def test_rows_walk_trees_in_parts(monkeypatch):
     monkeypatch.setattr(boosting, "WALK_ROWS", 7)
     expected = np.stack([sum(r[k].predict(bins) for r in rounds) for k in range(3)], axis=1)
     assert np.allclose(boosting.added(np.zeros((101, 3)), bins, rounds), expected)
+
+
+@pytest.mark.parametrize("kind", ["gb", "mlp", "rf"])
+def test_a_fit_gets_all_its_rows(spark, monkeypatch, kind):
+    """More rows than the 40,000 that a fit once drew reach every learner."""
+    rows = spark.range(50_000).select(F.lit("a").alias("symbol"), F.expr("date_add(date'1900-01-01', cast(id as int))").alias("date"), F.lit(1.0).alias("label"), *[F.rand(1).alias(c) for c in ml.contract("ml20")])
+    seen = []
+    for module in (ml.forest, ml.boosting, ml.perceptron):
+        monkeypatch.setattr(module, "fit", lambda df, *a: seen.append(df.select("key").distinct().count()))
+    ml.fit(rows, ml.Settings(kind=kind))
+    assert seen == [50_000]
+
+
+def test_models_saved_with_a_bound_on_their_rows_are_loaded(spark, tmp_path, panel):
+    s = ml.Settings(kind="gb", trees=1)
+    ml.save(ml.fit(panel, s), s, str(tmp_path / "m"), panel)
+    text = spark.read.text(str(tmp_path / "m/settings")).first()["value"]
+    assert "fit_rows" not in text
+    spark.createDataFrame([(text[:-1] + ', "fit_rows": 40000}',)], "value string").write.mode("overwrite").text(str(tmp_path / "m/settings"))
+    assert ml.load(spark, str(tmp_path / "m"))[1] == s
+
+
+@pytest.mark.parametrize("walked", [200, 25_000])
+def test_perceptron_of_many_rows_writes_no_vector(spark, monkeypatch, walked):
+    x, y = corners(1200)
+    df, columns = table(spark, x, y)
+    df = df.withColumn("vector", F.array(*columns)).cache()
+    monkeypatch.setattr(perceptron, "WRITTEN", 1200 * 3 - 1)
+    monkeypatch.setattr(perceptron, "MAX_TASKS", 2)
+    monkeypatch.setattr(perceptron, "WALK_ROWS", walked)
+    monkeypatch.setattr(perceptron, "materialize", lambda *a: pytest.fail("vectors are written"))
+    model = perceptron.fit(df, perceptron.Network((32, 16), 3, rounds=120, batch=32, rate=3e-3))
+    assert accuracy(model.transform(df)) > 0.93
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))
