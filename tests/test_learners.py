@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marketspark.operators import boosting, perceptron
+from marketspark.operators import boosting, forest, perceptron
 from marketspark.operators import models as ml
 from marketspark.schemas import ML20
 
@@ -228,3 +228,57 @@ def test_perceptron_of_many_rows_writes_no_vector(spark, monkeypatch, walked):
     model = perceptron.fit(df, perceptron.Network((32, 16), 3, rounds=120, batch=32, rate=3e-3))
     assert accuracy(model.transform(df)) > 0.93
     assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))
+
+
+def test_a_forest_of_more_rows_than_a_task_holds(spark, monkeypatch):
+    """Grown as sums and by parts: as good as one grown in a task, whose trees and those of another cut it repeats."""
+    x, y = corners(3000)
+    df, columns = table(spark, x, y)
+    whole = forest.fit(df, columns, trees=12, depth=8)
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 400)
+    monkeypatch.setattr(forest, "SENT_ROWS", 15_000)  # five trees at a time
+    model = forest.fit(df, columns, trees=12, depth=8)
+    assert len(model.trees) == 12 and accuracy(model.transform(df)) > 0.97 and accuracy(whole.transform(df)) > 0.97
+    assert abs(sum(model.importances()) - 1) < 1e-9 and model.importances()[2] < 0.2
+    drawn = [np.searchsorted(forest._POISSON, forest.hashed(np.arange(100_000), n + 1), "right") for n in range(2)]
+    assert all(abs(d.mean() - 1) < 0.02 and abs((d == 0).mean() - np.exp(-1)) < 0.01 for d in drawn) and abs(np.corrcoef(drawn)[0, 1]) < 0.02
+    monkeypatch.setattr(forest, "quantile_edges", lambda *a: model.edges)  # they are approximate
+    again = forest.fit(df.repartition(7), columns, trees=12, depth=8)
+    assert np.array_equal(again.probabilities(x), model.probabilities(x))
+    for tree in model.trees:
+        inner = tree.left >= 0
+        assert sorted(np.concatenate([tree.left[inner], tree.left[inner] + 1])) == list(range(1, len(tree.left)))
+        assert np.allclose(tree.value.sum(axis=1), 1)
+
+
+def test_parts_split_like_a_tree_of_one_task(spark, monkeypatch):
+    """One feature, so all are tried, and equal draws: sums and parts find the splits that one task finds."""
+    x = np.random.default_rng(8).uniform(0, 1, (900, 1))
+    y = (x[:, 0] * 9).astype(int) % 3
+    edges, key = [np.arange(1, forest.BINS) / forest.BINS], np.arange(900) * 7919
+    bins = forest.bin_matrix(x, edges)
+    draws = np.searchsorted(forest._POISSON, forest.hashed(key, 1), "right")
+    use = draws > 0
+    want = forest.grow_drawn(bins[use], y[use], draws[use].astype(float), forest._balance(np.bincount(y[use], draws[use], 3)), 6, np.random.default_rng(1))
+    ready = spark.createDataFrame([(int(k), int(c), bytes(b)) for k, c, b in zip(key, y, bins)], "key long, label int, bins binary").repartition(3)
+    for most in (100, 300, 2000):  # the last leaves nothing but the root to sums
+        monkeypatch.setattr(forest, "LOCAL_ROWS", most)
+        (got,) = forest._grow_together(ready, 900, 1, 1, 6, 3)
+        assert np.allclose(got.predict(bins), want.predict(bins)) and len(got.left) == len(want.left)
+        assert np.allclose(got.gains, 1)
+
+
+def test_boosting_of_many_rows_has_a_bounded_number_of_tasks(spark, monkeypatch):
+    """Rows are dealt as bytes, and as many more blocks as there are rows; the sums stay the same."""
+    x, y = corners()
+    df, columns = table(spark, x, y)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 10)
+    written, materialize = {}, boosting.materialize
+    monkeypatch.setattr(boosting, "materialize", lambda rows, name: written.setdefault(name, materialize(rows, name)))
+    monkeypatch.setattr(boosting, "MAX_TASKS", 3)
+    edges = [np.linspace(-1, 1, 40)] * 3
+    monkeypatch.setattr(boosting, "quantile_edges", lambda *a: edges)
+    model = boosting.fit(df, columns, boosting.Boosting(rounds=3))
+    assert list(written) == ["binned"] and written["binned"].count() == 3
+    monkeypatch.setattr(boosting, "MAX_TASKS", 1000)
+    assert np.array_equal(boosting.fit(df, columns, boosting.Boosting(rounds=3)).probabilities(x), model.probabilities(x))
